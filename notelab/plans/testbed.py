@@ -77,6 +77,113 @@ def d_mentions(documents: DataFrame) -> DataFrame:
     return keys.unionByName(inner)
 
 
+
+# --------------------------------------------------------------------------
+# Warehouse, terminology, crosswalk, prescriptions, predictions
+# --------------------------------------------------------------------------
+
+def d_docs(orders: DataFrame) -> DataFrame:
+    """Warehouse documents: one note per encounter."""
+    return orders.select(
+        F.col("o_orderkey").alias("encounter_num"), F.col("o_orderdate").alias("start_date_doc"),
+        F.col("o_orderpriority").alias("concept_cd"),
+        F.concat(F.lit("Patient "), F.col("o_custkey").cast("string"), F.lit(" status "),
+                 F.col("o_orderstatus")).alias("observation_blob"))
+
+
+def d_labs(lineitem: DataFrame) -> DataFrame:
+    """Warehouse lab rows (value, unit, date) per encounter."""
+    return lineitem.select(
+        F.col("l_orderkey").alias("encounter_num"), F.col("l_partkey").alias("concept_cd"),
+        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("double")).otherwise(F.col("l_quantity")).alias("nval_num"),
+        F.when(F.col("l_returnflag") == "A", "mg").when(F.col("l_returnflag") == "N", "g").alias("units_cd"),
+        F.col("l_shipdate").alias("start_date_lab"))
+
+
+def d_onto(part: DataFrame) -> DataFrame:
+    return part.select(F.col("p_partkey").alias("c_basecode"),
+                       F.concat(F.col("p_type"), F.lit(":"), F.col("p_name"), F.lit("_"),
+                                F.col("p_brand")).alias("c_name"))
+
+
+def _cui(partkey: Column) -> Column:
+    return F.concat(F.lit("C"), F.lpad((partkey % 97).cast("string"), 7, "0"))
+
+
+def d_mrconso(part: DataFrame) -> DataFrame:
+    """Terminology strings (CUI, language, source, code, string)."""
+    lat = F.when(F.col("p_partkey") % 5 == 0, "FRE").when(F.col("p_partkey") % 5 == 1, "SPA").otherwise("ENG")
+    return part.select(_cui(F.col("p_partkey")).alias("CUI"), lat.alias("LAT"), F.col("p_brand").alias("SAB"),
+                       F.col("p_partkey").cast("string").alias("CODE"),
+                       F.concat(F.col("p_name"), F.lit(" "), F.lower(F.col("p_type"))).alias("STR"))
+
+
+def d_mrsty(part: DataFrame) -> DataFrame:
+    """Semantic type per concept, with the type name."""
+    tui = F.concat(F.lit("T"), F.lpad(((F.col("p_partkey") % 97) % 7 + 56).cast("string"), 3, "0"))
+    return part.select(_cui(F.col("p_partkey")).alias("CUI"), tui.alias("TUI")).distinct().select(
+        "CUI", "TUI", F.concat(F.lit("semantic type "), F.col("TUI")).alias("STY"))
+
+
+def d_concept(part: DataFrame, supplier: DataFrame) -> DataFrame:
+    loinc = part.select(F.col("p_partkey").alias("concept_id"), F.col("p_name").alias("concept_name"),
+                        F.col("p_partkey").cast("string").alias("concept_code"),
+                        F.lit("Lab Test").alias("concept_class_id"), F.lit("LOINC").alias("vocabulary_id"))
+    snomed = supplier.select((F.col("s_suppkey") + 1000000).alias("concept_id"), F.col("s_name").alias("concept_name"),
+                             F.col("s_suppkey").cast("string").alias("concept_code"),
+                             F.lit("Procedure").alias("concept_class_id"), F.lit("SNOMED").alias("vocabulary_id"))
+    return loinc.unionByName(snomed)
+
+
+def d_rel(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(F.col("l_partkey").alias("concept_id_1"),
+                           (F.col("l_suppkey") + 1000000).alias("concept_id_2")).distinct()
+
+
+def d_rx(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Prescription sentences: drug name, dose with unit, daily frequency."""
+    unit = (F.when(F.col("l_linenumber") % 3 == 0, "mg").when(F.col("l_linenumber") % 3 == 1, "g")
+             .otherwise("comprimes"))
+    txt = F.concat(F.col("p_name"), F.lit(" "), F.col("l_quantity").cast("int").cast("string"), F.lit(" "), unit,
+                   F.lit(" "), F.col("l_linenumber").cast("string"), F.lit(" fois par jour"))
+    return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_orderkey", "l_linenumber", txt.alias("txt"))
+
+
+def d_terms(part: DataFrame) -> DataFrame:
+    return part.where(F.col("p_partkey") % 2 == 0).select(
+        F.col("p_size").alias("source"), F.col("p_partkey").alias("id"), F.col("p_name").alias("term"))
+
+
+def d_gold_terms(part: DataFrame) -> DataFrame:
+    return part.where(F.col("p_partkey") % 2 == 1).select(
+        F.col("p_size").alias("source"), F.col("p_partkey").alias("gid"),
+        F.concat(F.col("p_name"), F.lit(" "), F.lower(F.col("p_type"))).alias("gold_term"))
+
+
+def d_gold(documents: DataFrame) -> DataFrame:
+    """Gold BIO mentions with annotator notes ``CODE_measure`` (some with a
+    ``path:CODE`` form, some without annotation)."""
+    g = d_inner(documents).where(F.col("label") == "BIO")
+    code = F.concat(F.lit("C"), ((F.col("doc_id") + F.col("k")) % 13).cast("string"))
+    meas = F.concat(F.lit("= "), ((F.col("k") % 20) * 0.5).cast("string"), F.lit(" g_per_l"))
+    ann = (F.when(F.col("k") % 11 == 0, F.lit(None).cast("string"))
+            .when(F.col("k") % 7 == 0, F.concat(F.lit("path:"), code))
+            .otherwise(F.concat(code, F.lit("_"), meas)))
+    return g.select("source", "doc_id", "k", "s", "e", "label", "term", ann.alias("annotation"))
+
+
+def d_pred(documents: DataFrame) -> DataFrame:
+    """Predictions against ``d_gold``: shifted, thinned, with a code list."""
+    g = d_inner(documents).where((F.col("label") == "BIO") & (F.col("k") % 5 != 0))
+    shift = (F.col("doc_id") + F.col("k")) % 4
+    codes = F.array(F.concat(F.lit("C"), ((F.col("doc_id") + F.col("k") + F.col("k") % 3) % 13).cast("string")),
+                     F.concat(F.lit("C"), ((F.col("doc_id") + 2 * F.col("k")) % 13).cast("string")))
+    found = F.array(F.concat(F.lit("= "), ((F.col("k") % 20) * 0.5 + (F.col("k") % 4 == 0).cast("int")).cast("string"),
+                             F.lit(" g_per_l")))
+    return g.select("source", "doc_id", "k", (F.col("s") + shift).alias("s"), (F.col("e") + shift).alias("e"),
+                    "label", "term", F.array_sort(F.array_distinct(codes)).alias("codes"), found.alias("found"))
+
 @dataclass
 class Tables:
     spark: SparkSession
@@ -124,6 +231,58 @@ from (
 select source, doc_id, k, s, e, label, term from d_keys
 union all
 select source, doc_id, k, s, e, label, term from d_inner""",
+    "d_docs": """
+select o_orderkey encounter_num, o_orderdate start_date_doc, o_orderpriority concept_cd,
+       concat('Patient ', cast(o_custkey as varchar), ' status ', o_orderstatus) observation_blob
+from orders""",
+    "d_labs": """
+select l_orderkey encounter_num, l_partkey concept_cd,
+       case when l_linenumber = 7 then null else l_quantity end nval_num,
+       case l_returnflag when 'A' then 'mg' when 'N' then 'g' else null end units_cd,
+       l_shipdate start_date_lab
+from lineitem""",
+    "d_onto": """
+select p_partkey c_basecode, concat(p_type, ':', p_name, '_', p_brand) c_name from part""",
+    "d_mrconso": """
+select concat('C', lpad(cast(p_partkey % 97 as varchar), 7, '0')) CUI,
+       case p_partkey % 5 when 0 then 'FRE' when 1 then 'SPA' else 'ENG' end LAT,
+       p_brand SAB, cast(p_partkey as varchar) CODE, concat(p_name, ' ', lower(p_type)) STR
+from part""",
+    "d_mrsty": """
+select CUI, TUI, concat('semantic type ', TUI) STY from (
+  select distinct concat('C', lpad(cast(p_partkey % 97 as varchar), 7, '0')) CUI,
+         concat('T', lpad(cast((p_partkey % 97) % 7 + 56 as varchar), 3, '0')) TUI
+  from part) t""",
+    "d_concept": """
+select p_partkey concept_id, p_name concept_name, cast(p_partkey as varchar) concept_code,
+       'Lab Test' concept_class_id, 'LOINC' vocabulary_id from part
+union all
+select 1000000 + s_suppkey, s_name, cast(s_suppkey as varchar), 'Procedure', 'SNOMED' from supplier""",
+    "d_rel": """
+select distinct l_partkey concept_id_1, 1000000 + l_suppkey concept_id_2 from lineitem""",
+    "d_rx": """
+select l_orderkey, l_linenumber,
+       concat(p_name, ' ', cast(cast(l_quantity as integer) as varchar), ' ',
+              case l_linenumber % 3 when 0 then 'mg' when 1 then 'g' else 'comprimes' end, ' ',
+              cast(l_linenumber as varchar), ' fois par jour') txt
+from lineitem join part on l_partkey = p_partkey""",
+    "d_terms": """
+select p_size source, p_partkey id, p_name term from part where p_partkey % 2 = 0""",
+    "d_gold_terms": """
+select p_size source, p_partkey gid, concat(p_name, ' ', lower(p_type)) gold_term from part where p_partkey % 2 = 1""",
+    "d_gold": """
+select source, doc_id, k, s, e, label, term,
+       case when k % 11 = 0 then null
+            when k % 7 = 0 then concat('path:', 'C', cast((doc_id + k) % 13 as varchar))
+            else concat('C', cast((doc_id + k) % 13 as varchar), '_= ',
+                        cast((k % 20) * 0.5 as varchar), ' g_per_l') end annotation
+from d_inner where label = 'BIO'""",
+    "d_pred": """
+select source, doc_id, k, s + (doc_id + k) % 4 s, e + (doc_id + k) % 4 e, label, term,
+       list_sort(list_distinct([concat('C', cast((doc_id + k + k % 3) % 13 as varchar)),
+                                concat('C', cast((doc_id + 2 * k) % 13 as varchar))])) codes,
+       [concat('= ', cast((k % 20) * 0.5 + cast(k % 4 = 0 as integer) as varchar), ' g_per_l')] found
+from d_inner where label = 'BIO' and k % 5 <> 0""",
 }
 
 
