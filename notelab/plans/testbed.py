@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BASE_TABLES = (
@@ -184,6 +184,63 @@ def d_pred(documents: DataFrame) -> DataFrame:
     return g.select("source", "doc_id", "k", (F.col("s") + shift).alias("s"), (F.col("e") + shift).alias("e"),
                     "label", "term", F.array_sort(F.array_distinct(codes)).alias("codes"), found.alias("found"))
 
+
+# --------------------------------------------------------------------------
+# Lab notes: one note per order; line 0 is a header with the patient and a
+# date, then one line per lineitem with a measure in one of several forms;
+# lines 5..7 form a text table.  Key mentions (BIO_comp) are the item lines,
+# inner BIO mentions the analyte names at their start.
+# --------------------------------------------------------------------------
+
+def d_lab_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    li = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    ln = F.col("l_linenumber")
+    qty = F.col("l_quantity").cast("int").cast("string")
+    disc = F.floor(F.col("l_discount") * 100 + 0.5).cast("int").cast("string")
+    tax = F.floor(F.col("l_tax") * 100 + 0.5).cast("int").cast("string")
+    word = (F.when(F.col("l_returnflag") == "R", "positif").when(F.col("l_returnflag") == "A", "negatif")
+             .otherwise("normal"))
+    trig = F.when(F.col("l_orderkey") % 2 == 0, "poids ").otherwise("taille ")
+    line = (F.when(ln >= 5, F.concat(F.col("p_name"), F.lit(" | "), qty, F.lit(" | mg | "), tax, F.lit(" %")))
+             .when(ln % 4 == 1, F.concat(F.col("p_name"), F.lit(" "), qty, F.lit(" mg/dl")))
+             .when(ln % 4 == 2, F.concat(F.col("p_name"), F.lit(" < "), disc, F.lit(",5 g/l")))
+             .when(ln % 4 == 3, F.concat(F.col("p_name"), F.lit(" "), word))
+             .otherwise(F.concat(trig, qty)))
+    name = F.when((ln < 5) & (ln % 4 == 0), F.lit(None).cast("string")).otherwise(F.col("p_name"))
+    # (order, linenumber) is not unique in the data: number lines per order
+    # (a bounded group) with a full tie-break so both engines agree.
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    items = li.select("l_orderkey", F.row_number().over(order).cast("int").alias("ln"), line.alias("line"),
+                      name.alias("analyte"))
+    header = orders.select(
+        F.col("o_orderkey").alias("l_orderkey"), F.lit(0).alias("ln"),
+        F.concat(F.lit("patient "), F.col("o_custkey").cast("string"), F.lit(" le "),
+                 F.date_format(F.col("o_orderdate"), "dd/MM/yyyy")).alias("line"),
+        F.lit(None).cast("string").alias("analyte"))
+    lines = header.unionByName(items)
+    w = Window.partitionBy("l_orderkey").orderBy("ln").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("line") + 1).over(w), F.lit(0)).cast("bigint")
+    return lines.select(_src(F.col("l_orderkey")).alias("source"), "l_orderkey", "ln", "line", "analyte",
+                        start.alias("start"))
+
+
+def d_lab_notes(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("source", "l_orderkey").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "line"))), lambda x: x["line"]),
+                     "\n").alias("note_text"))
+
+
+def d_lab_mentions(lines: DataFrame) -> DataFrame:
+    items = lines.where(F.col("ln") > 0)
+    keys = items.select("source", (2 * F.col("ln")).cast("bigint").alias("k"), F.col("start").alias("s"),
+                        (F.col("start") + F.length("line")).alias("e"), F.lit("BIO_comp").alias("label"),
+                        F.col("line").alias("term"))
+    inner = items.where(F.col("analyte").isNotNull()).select(
+        "source", (2 * F.col("ln") + 1).cast("bigint").alias("k"), F.col("start").alias("s"),
+        (F.col("start") + F.length("analyte")).alias("e"), F.lit("BIO").alias("label"),
+        F.col("analyte").alias("term"))
+    return keys.unionByName(inner)
+
 @dataclass
 class Tables:
     spark: SparkSession
@@ -283,6 +340,36 @@ select source, doc_id, k, s + (doc_id + k) % 4 s, e + (doc_id + k) % 4 e, label,
                                 concat('C', cast((doc_id + 2 * k) % 13 as varchar))])) codes,
        [concat('= ', cast((k % 20) * 0.5 + cast(k % 4 = 0 as integer) as varchar), ' g_per_l')] found
 from d_inner where label = 'BIO' and k % 5 <> 0""",
+    "d_lab_lines": """
+select concat(cast(l_orderkey as varchar), '.ann') source, l_orderkey, ln, line, analyte,
+       cast(coalesce(sum(length(line) + 1) over (partition by l_orderkey order by ln
+            rows between unbounded preceding and 1 preceding), 0) as bigint) start
+from (
+  select l_orderkey, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey)
+                         as integer) ln,
+         case when l_linenumber >= 5 then concat(p_name, ' | ', cast(cast(l_quantity as integer) as varchar),
+                                                 ' | mg | ', cast(cast(floor(l_tax * 100 + 0.5) as integer) as varchar), ' %')
+              when l_linenumber % 4 = 1 then concat(p_name, ' ', cast(cast(l_quantity as integer) as varchar), ' mg/dl')
+              when l_linenumber % 4 = 2 then concat(p_name, ' < ',
+                                                    cast(cast(floor(l_discount * 100 + 0.5) as integer) as varchar), ',5 g/l')
+              when l_linenumber % 4 = 3 then concat(p_name, ' ', case l_returnflag when 'R' then 'positif'
+                                                                   when 'A' then 'negatif' else 'normal' end)
+              else concat(case when l_orderkey % 2 = 0 then 'poids ' else 'taille ' end,
+                          cast(cast(l_quantity as integer) as varchar)) end line,
+         case when l_linenumber < 5 and l_linenumber % 4 = 0 then null else p_name end analyte
+  from lineitem join part on l_partkey = p_partkey
+  union all
+  select o_orderkey, 0, concat('patient ', cast(o_custkey as varchar), ' le ', strftime(o_orderdate, '%d/%m/%Y')), null
+  from orders
+) t""",
+    "d_lab_notes": """
+select source, l_orderkey, string_agg(line, chr(10) order by ln) note_text from d_lab_lines group by source, l_orderkey""",
+    "d_lab_mentions": """
+select source, cast(2 * ln as bigint) k, start s, start + length(line) e, 'BIO_comp' label, line term
+from d_lab_lines where ln > 0
+union all
+select source, cast(2 * ln + 1 as bigint) k, start s, start + length(analyte) e, 'BIO' label, analyte term
+from d_lab_lines where ln > 0 and analyte is not null""",
 }
 
 
