@@ -1,6 +1,6 @@
 """All registered queries (imports register them)."""
 
-from notelab.plans import catalog_basic, catalog_measures, catalog_spans  # noqa: F401
+from notelab.plans import catalog_basic, catalog_measures, catalog_similarity, catalog_spans  # noqa: F401
 from notelab.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
