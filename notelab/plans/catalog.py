@@ -1,6 +1,7 @@
 """All registered queries (imports register them)."""
 
-from notelab.plans import catalog_basic, catalog_measures, catalog_similarity, catalog_spans  # noqa: F401
+from notelab.plans import (  # noqa: F401
+    catalog_basic, catalog_corpus, catalog_eval, catalog_measures, catalog_similarity, catalog_spans)
 from notelab.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
