@@ -16,8 +16,8 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def unit_ctes() -> str:
-    terms = un.term_table(tuple(u for u in un.UNITS))
+def unit_ctes(units: tuple = ()) -> str:
+    terms = un.term_table(tuple(units) or tuple(u for u in un.UNITS))
     tt = ", ".join(f"({q(t)}, {q(u)})" for t, u in terms.items())
     ui = ", ".join(f"({q(u.name)}, {q(u.dim)}, {float(u.scale)!r}::double)" for u in un.UNITS)
     rt = ", ".join(f"({q(t)}, {q(v)})" for t, v in un.RANGE_TERMS)
@@ -52,10 +52,10 @@ def find_all(src: str, ids: str, text: str, pattern: str, groups: tuple[int, ...
               from (select {ids}, {text} _txt, {norm(text)} _norm from {src}) a) b) c)"""
 
 
-def measures(src: str, ids: str, text: str, table_mode: bool = False) -> str:
+def measures(src: str, ids: str, text: str, table_mode: bool = False, units: tuple = ()) -> str:
     """D03 rows: ids, value_range, value, unit, dim, base_value, start, end,
     lexical_variant."""
-    pat = ms.measure_pattern(table_mode=table_mode)
+    pat = ms.measure_pattern(units, table_mode=table_mode)
     f = find_all(src, ids, text, pat, (1, 2, 3, 4))
     idc = ", ".join(f"f.{c.strip()}" for c in ids.split(","))
     return f"""(
