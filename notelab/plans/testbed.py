@@ -241,6 +241,14 @@ def d_lab_mentions(lines: DataFrame) -> DataFrame:
         F.col("analyte").alias("term"))
     return keys.unionByName(inner)
 
+
+def d_conv_notes(conversations: DataFrame) -> DataFrame:
+    """One note per conversation: every turn opens with a heading line
+    ``<role>:`` (a section heading)."""
+    chunk = F.concat(F.col("role"), F.lit(":\n"), F.col("text"))
+    return conversations.groupBy("conv_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", chunk.alias("c")))), lambda x: x["c"]), "\n").alias("note_text"))
+
 @dataclass
 class Tables:
     spark: SparkSession
@@ -362,6 +370,9 @@ from (
   select o_orderkey, 0, concat('patient ', cast(o_custkey as varchar), ' le ', strftime(o_orderdate, '%d/%m/%Y')), null
   from orders
 ) t""",
+    "d_conv_notes": """
+select conv_id, string_agg(concat(role, ':', chr(10), text), chr(10) order by turn) note_text
+from conversations group by conv_id""",
     "d_lab_notes": """
 select source, l_orderkey, string_agg(line, chr(10) order by ln) note_text from d_lab_lines group by source, l_orderkey""",
     "d_lab_mentions": """
