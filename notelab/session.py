@@ -36,6 +36,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+        # task-side commits: many small per-note files commit in parallel
+        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
