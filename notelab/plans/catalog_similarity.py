@@ -289,3 +289,23 @@ def j16(spark, sf_dir):
     g = tb.d_gold_terms(part).select("source", "gid", tx.ngram_set(F.col("gold_term"), 4).alias("b"))
     best = sim.tiled_best_match(t, g, "id", "gid", sim.dice_scores("a", "b"), block=["source"])
     return best.select("id", "gid", (F.col("score") / 100.0).alias("score"))
+
+
+# -- D09 ----------------------------------------------------------------------
+
+@query("D09_normalize_terms", W(f"""
+select t.id, t.term, b.label, b.des from d_terms t join (
+  select term, label, des from (
+    select q.term, d.codes label, d.str des,
+           row_number() over (partition by q.term order by round({_dot_sql('q.qv', 'd.dv')}, 9) desc, d.str) rn
+    from (select term, {_encode_sql('norm')} qv
+          from (select distinct term, {tx.normalize_term_sql('term')} norm from d_terms) a) q,
+         (select str, codes, {_encode_sql('str')} dv from dict) d) x
+  where rn = 1) b on b.term = t.term""", "d_terms", "d_mrconso", extra=f"""
+dict as (select str, list_sort(list_distinct(list(code))) codes
+         from (select {_NORM_DICT} str, CUI code from d_mrconso) t
+         where not (str = '' or regexp_matches(str, '^[0-9]+$')) group by str)"""))
+def d09(spark, sf_dir):
+    from notelab.plans.normalize import normalize_terms
+    part = tb.tables(spark, sf_dir).part
+    return normalize_terms(tb.d_terms(part), "term", "id", tb.d_mrconso(part))
