@@ -1,4 +1,10 @@
-"""Every registered query that has an oracle agrees with DuckDB at sf0.001."""
+"""Registered queries agree with their DuckDB oracle at sf0.001.
+
+The full list takes about 25 minutes locally; by default a core subset
+runs, ``NOTELAB_ORACLE_TESTS=1`` runs all (``tools/oracle_check.py`` does the
+same comparison at any scale)."""
+
+import os
 
 import duckdb
 import pytest
@@ -12,6 +18,9 @@ import tools.oracle_check as oc  # noqa: E402
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
+CORE = ["D02_remove_inner_labels", "D10_extract_lab_results", "J01_overlap_closed", "J02_overlap_halfopen",
+        "D03_extract_measures", "E01_classify_detection", "J14_nearest_concept", "A01_build_dictionary"]
+SELECTED = sorted(ORACLES) if os.environ.get("NOTELAB_ORACLE_TESTS") == "1" else [n for n in CORE if n in ORACLES]
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +31,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", SELECTED)
 def test_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SMOKE)
     rows = [tuple(r) for r in df.collect()]
