@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelab.llm import decontaminate, line_dedup
-from notelab.llm.common import table
+from notelab.llm import decontaminate, line_dedup, packing, quality_rules, secret_scan, sharding
+from notelab.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,11 +25,35 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_benchmark_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shared_folder(spark, "slot-map"), 16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+def tokenizer_files() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *tokenizer_files()))
+
+
 OP9_SQL = r"""
 with l as (
   select doc_id, row_number() over () r, unnest(string_split(coalesce(text, ''), chr(10))) line,
@@ -52,3 +76,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(docs, counts=("n_lines", "n_dropped"))
     return out.select("doc_id", "n_lines", "n_dropped",
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, spans = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    s = F.col(spans)
+
+    def joined(x: Column) -> Column:
+        return F.concat_ws(",", F.transform(x, lambda y: F.concat_ws(":", y["kind"], y["start"].cast("string"), y["end"].cast("string"))))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(s, lambda y: y["kind"] == kind)).cast("long")
+
+    base = [r.kind for r in secret_scan.BASE_RULES]
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in base),
+        F.sha2(joined(F.filter(s, lambda y: y["kind"].isin(base))), 256).alias("base_sha256"), joined(s).alias("spans"))
