@@ -166,9 +166,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     twice = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in filters.toLocalIterator()})
     suspects = written(keys.mapInArrow(_suspects(twice, segments, twice_bits), "doc_id long, lo long, hi long"),
                        "line-suspects")
-    confirmed = (
+    # written, so that the join deals both sides anew and can split a hot key
+    confirmed = written(
         suspects.groupBy("lo", "hi").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper"))
-        .filter(F.col("n") >= min_docs))
+        .filter(F.col("n") >= min_docs), "line-confirmed")
     return (
         suspects.join(confirmed, ["lo", "hi"]).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("lost")))
