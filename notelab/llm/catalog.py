@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelab.llm import decontaminate, line_dedup, packing, quality_rules, secret_scan, sharding
+from notelab.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, secret_scan, sharding, toxicity, url_filter
 from notelab.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [url_filter.rule(*x) for x in (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))]
+
+
+@query("op4_url_filter")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op5_benchmark_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -54,6 +67,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), *tokenizer_files()))
 
 
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP9_SQL = r"""
 with l as (
   select doc_id, row_number() over () r, unnest(string_split(coalesce(text, ''), chr(10))) line,

@@ -34,12 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notelab.llm.bloom import KEY_BITS, SEGMENT_BITS, Bloom
 from notelab.llm.common import fresh_name, written
 
 BLANK = b" \t\n\x0b\x0c\r"
-SEGMENT_BITS = 1 << 23
-KEY_BITS = 16
-PROBES = 4
 
 
 def line_digest(line: bytes, min_chars: int) -> bytes | None:
@@ -81,32 +79,6 @@ def _distinct_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n > 1)], names=["h", "again"])
 
 
-class Bloom:
-    """Bits addressed by ``PROBES`` positions taken from a 64-bit hash."""
-
-    def __init__(self, bits: int, words: bytes | None = None) -> None:
-        self.bits = np.uint64(bits)
-        self.words = np.zeros(bits // 8, np.uint8) if words is None else np.frombuffer(words, np.uint8)
-
-    def _at(self, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        with np.errstate(over="ignore"):
-            u = h.astype(np.uint64)
-            step = (u * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20) | np.uint64(1)
-            for i in range(PROBES):
-                p = ((u >> np.uint64(7)) + np.uint64(i) * step) % self.bits
-                yield (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8)
-
-    def add(self, h: np.ndarray) -> None:
-        for byte, bit in self._at(h):
-            np.bitwise_or.at(self.words, byte, bit)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for byte, bit in self._at(h):
-            out &= (self.words[byte] & bit) != 0
-        return out
-
-
 def _twice_seen(segments: int, twice_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters: dict[int, tuple[Bloom, Bloom]] = {}
