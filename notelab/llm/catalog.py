@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from notelab.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, secret_scan, sharding, toxicity, url_filter
 from notelab.llm.common import shared_folder, table
 
@@ -111,3 +112,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(count(k).alias(f"n_{k}") for k in base),
         F.sha2(joined(F.filter(s, lambda y: y["kind"].isin(base))), 256).alias("base_sha256"), joined(s).alias("spans"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
