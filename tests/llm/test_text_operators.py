@@ -75,8 +75,8 @@ def test_quality_counts(spark, docs):
 
 
 def test_quality_rules_learn_a_threshold_and_keep_columns(spark):
-    good = [(i, " ".join(f"w{i}x{k}" for k in range(30)), "a") for i in range(60)]
-    bad = [(100 + i, " ".join(f"v{i}x{k}###" for k in range(30)), "b") for i in range(60)]
+    good = [(i, " ".join(f"w{i + 100}x{k}abc" for k in range(30)), "a") for i in range(60)]
+    bad = [(100 + i, " ".join(f"v{i + 100}x{k}###" for k in range(30)), "b") for i in range(60)]
     table = spark.createDataFrame(good + bad, "doc_id long, text string, kept string")
     truth = spark.createDataFrame([(i, 1) for i, _, _ in good] + [(i, 0) for i, _, _ in bad], "doc_id long, quality int")
     rules = quality_rules.fit(table, truth)
