@@ -213,15 +213,21 @@ def conditional_code(annotation: Column) -> Column:
 
 
 def number_text(v: Column) -> Column:
-    """Number as text the way Python prints a float for ordinary magnitudes
-    (``13.7``, ``5.0``), identical in Spark and DuckDB."""
-    t = F.regexp_replace(F.regexp_replace(v.cast("decimal(20,6)").cast("string"), "0+$", ""), "[.]$", ".0")
-    return F.when(v.isNull(), F.lit(None)).otherwise(t)
+    """Number as text the way Python prints a float: ``13.7``, ``5.0``,
+    ``12345678.5``, and with an exponent from 1e16 on or below 1e-4
+    (``1e+16``, ``4e-07``).  All digits are kept and no value aborts."""
+    d = v.cast("double")
+    t, size = d.cast("string"), F.abs(d)
+    mantissa = F.regexp_replace(F.substring_index(t, "E", 1), "[.]0$", "")
+    power = F.substring_index(t, "E", -1).try_cast("int")
+    exponent = F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"),
+                        F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
+    plain = F.regexp_replace(F.regexp_replace(t.try_cast("decimal(38,20)").cast("string"), "0+$", ""), "[.]$", ".0")
+    return F.when(~t.contains("E"), t).when((size >= 1e16) | (size < 1e-4), exponent).otherwise(plain)
 
 
 def number_text_sql(x: str) -> str:
-    return (f"regexp_replace(regexp_replace(cast(cast({x} as decimal(20,6)) as varchar), "
-            f"'0+$', ''), '[.]$', '.0')")
+    return f"cast(cast({x} as double) as varchar)"
 
 
 def value_unit_text(value: Column, unit: Column) -> Column:

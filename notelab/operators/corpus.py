@@ -40,25 +40,35 @@ def seeded_shuffle_limit(df: DataFrame, id_col: str, n: int | None, seed=42, shu
     return out.limit(n) if n is not None else out
 
 
-def sample_n(df: DataFrame, strata: Sequence[str], id_col: str, n: int, seed=42, salts: int = 16) -> DataFrame:
-    """``n`` rows per stratum without replacement.  Top-n by hash inside
-    salted sub-groups first, then inside the stratum: exact, and a stratum
-    holding a third of the rows is split over ``salts`` tasks."""
-    strata = list(strata)
-    h = hash_key(seed, F.col(id_col))
-    d = df.withColumn("_h", h).withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)))
-    w1 = Window.partitionBy(*strata, "_salt").orderBy("_h", id_col)
-    d = d.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
-    w2 = Window.partitionBy(*strata).orderBy("_h", id_col)
-    return d.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= n).drop("_h", "_salt", "_r")
-
-
-def positional_split(df: DataFrame, id_col: str, seed=42, train: float = 0.8, val: float = 0.1) -> DataFrame:
-    """Train / val / test assignment by hash fraction (80/10/10 in
-    expectation).  Deviation: the reference cuts the file order exactly;
-    an exact cut needs a global rank (one task), a hash cut does not."""
-    f = hash_fraction(seed, F.col(id_col))
-    return df.withColumn("split", F.when(f < train, "train").when(f < train + val, "val").otherwise("test"))
+def sample_n(df: DataFrame, strata: Sequence[str], id_col: str, n: int, seed=42) -> DataFrame:
+    """``n`` rows per stratum without replacement, those with the
+    smallest hashes.  Spark keeps the first n of each stratum per partition
+    before it shuffles (WindowGroupLimit), so a hot stratum is no burden."""
+    w = Window.partitionBy(*strata).orderBy("_h", id_col)
+    d = df.withColumn("_h", hash_key(seed, F.col(id_col)))
+    return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_h", "_r")
+
+
+def positional_split(df: DataFrame, id_col: str, seed=42, train: float = 0.8, test: float = 0.1) -> DataFrame:
+    """The first 80 % of the rows for training, the next 10 % for test,
+    the last 10 % for validation, by exact position in the seeded order.
+
+    The order is that of a uniform hash, so its first four hex digits cut the
+    rows into 65,536 even buckets: rows are counted per bucket, the (bounded)
+    list of counts is summed up, and a row's position is the rows in earlier
+    buckets plus its rank in its own.  No task sees more than a bucket."""
+    key = hash_key(seed, F.col(id_col))
+    d = df.withColumn("_h", key).withColumn("_b", F.substring(key, 1, 4))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_all"))
+    d = d.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", id_col)))
+    d = d.join(F.broadcast(counts), "_b")  # at most 65,536 rows
+    p = F.col("_before") + F.col("_r") - 1
+    split = (F.when(p < F.floor(F.col("_all") * train), "train")
+              .when(p < F.floor(F.col("_all") * (train + test)), "test").otherwise("val"))
+    return d.withColumn("split", split).drop("_h", "_b", "_before", "_all", "_r")
 
 
 def balanced_split(notes: DataFrame, mentions: DataFrame, note: str, attr: str, draws: int,
@@ -66,19 +76,20 @@ def balanced_split(notes: DataFrame, mentions: DataFrame, note: str, attr: str,
     """Draw ``draws`` random held-out sets (half test, half val); per
     draw the share of each attribute's mentions that falls in test, rounded
     to 2; keep the draw whose summed share is nearest ``target × n_attr``.
-    Returns one row per note with its split in the chosen draw."""
-    d = notes.select(note).distinct().withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    Returns one row per note with its split in the chosen draw.
+
+    A split is a function of (draw, note), so the counts per note are expanded
+    by draw and summed before any shuffle: no join, and the plan runs no job."""
     f = hash_fraction(seed, F.concat(F.col("draw").cast("string"), F.lit("_"), F.col(note).cast("string")))
-    d = d.withColumn("split", F.when(f < held_out / 2, "test").when(f < held_out, "val").otherwise("train"))
+    split = F.when(f < held_out / 2, "test").when(f < held_out, "val").otherwise("train")
     per_note = mentions.groupBy(note, attr).agg(F.count(F.lit(1)).alias("n"))
-    j = d.join(per_note, note)
-    per_attr = j.groupBy("draw", attr).agg(
-        F.round(F.sum(F.when(F.col("split") == "test", F.col("n")).otherwise(0)) / F.sum("n"), 2).alias("share"))
-    n_attr = mentions.select(attr).distinct().count()
-    per_draw = per_attr.groupBy("draw").agg(F.sum("share").alias("total"))
-    best = per_draw.agg(F.min_by("draw", F.struct(F.pow(F.col("total") - target * n_attr, 2), F.col("draw")))
+    per_attr = per_note.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).groupBy("draw", attr).agg(
+        F.round(F.sum(F.when(split == "test", F.col("n")).otherwise(0)) / F.sum("n"), 2).alias("share"))
+    per_draw = per_attr.groupBy("draw").agg(F.sum("share").alias("total"), F.count(F.lit(1)).alias("n_attr"))
+    best = per_draw.agg(F.min_by("draw", F.struct(F.pow(F.col("total") - target * F.col("n_attr"), 2), F.col("draw")))
                         .alias("draw"))
-    return d.join(best, "draw").select(note, "draw", "split")
+    chosen = notes.select(note).distinct().join(F.broadcast(best.where(F.col("draw").isNotNull())))  # one row
+    return chosen.select(note, "draw", split.alias("split"))
 
 
 def label_distribution(mentions: DataFrame, label: str = "label", attributes: str = "attributes") -> DataFrame:
@@ -107,8 +118,15 @@ def clean_mentions(mentions: DataFrame, term: str = "term") -> DataFrame:
 def resolve_overlaps(mentions: DataFrame, note: str = "source", mid: str = "k") -> DataFrame:
     """Greedy overlap resolution per note: longest span first, earlier
     start on ties; a span overlapping (half-open) a kept one is dropped.
-    Folded over the note's mentions (a note's mentions fit in one task)."""
-    g = mentions.groupBy(note).agg(F.array_sort(
+
+    Spans decide about each other only within a run of overlapping spans, so a
+    note is first cut into such islands (a span that starts at or after all
+    earlier ends opens one), and only an island is folded."""
+    earlier = Window.partitionBy(note).orderBy("s", "e", mid).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(note).orderBy("s", "e", mid).rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.coalesce(F.col("s") >= F.max("e").over(earlier), F.lit(True)).cast("int")
+    cut = mentions.select(note, mid, "s", "e", opens.alias("_o")).withColumn("_island", F.sum("_o").over(so_far))
+    g = cut.groupBy(note, "_island").agg(F.array_sort(
         F.collect_list(F.struct((F.col("s") - F.col("e")).alias("neg_len"), F.col("s").alias("s"),
                                 F.col("e").alias("e"), F.col(mid).alias("id")))).alias("_m"))
 
@@ -127,15 +145,25 @@ SENTENCE = r"[^.!?\n]+[.!?]*"
 def chunk_bounds(text: Column, max_len: int) -> Column:
     """D19 (chunks): sentences (runs ended by . ! ? or a line break) packed
     greedily into chunks of at most ``max_len`` words; a longer sentence is
-    cut every ``max_len`` words.  Returns ``array<struct<start,end>>``."""
+    cut every ``max_len`` words, into chunks of its own.  Returns
+    ``array<struct<start,end>>``."""
     from notelab.operators.measures import find_all
-    sents = find_all(text, SENTENCE)
+    piece = rf"\S+(?:\s+\S+){{0,{max_len - 1}}}"
 
     def words(m: Column) -> Column:
         return F.size(F.filter(F.split(m, r"\s+"), lambda w: w != ""))
 
+    def cut(x: Column) -> Column:
+        def whole(start: Column, m: Column, n: Column) -> Column:
+            return F.struct(start.cast("int").alias("start"), m.alias("m"), n.cast("int").alias("n"))
+
+        parts = F.transform(find_all(x["m"], piece), lambda y: whole(x["start"] + y["start"], y["m"], F.lit(max_len)))
+        return F.when(words(x["m"]) > max_len, parts).otherwise(F.array(whole(x["start"], x["m"], words(x["m"]))))
+
+    sents = F.flatten(F.transform(find_all(text, SENTENCE), cut))
+
     def step(acc: Column, x: Column) -> Column:
-        n = words(x["m"])
+        n = x["n"]
         start, end = x["start"], x["start"] + F.length(x["m"])
         fits = (acc["n"] + n <= max_len) & (acc["n"] > 0)
         closed = F.when(acc["n"] > 0, F.concat(acc["out"], F.array(F.struct(acc["cs"].alias("start"),

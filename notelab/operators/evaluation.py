@@ -47,12 +47,12 @@ def classify_detection(gold: DataFrame, pred: DataFrame, note: str = "source") -
         note, "k", "s", "e", conditional_code(F.col("annotation")).alias("gold_label"))
     p = pred.select(note, F.col("s").alias("ps"), F.col("e").alias("pe"), F.col("codes").alias("pcodes"))
     pairs = spans.overlap_join(g.select(note, "k", "s", "e"), p, [note], ("s", "e"), ("ps", "pe"), closed=False)
-    rows = g.select(note, "k", "gold_label", F.lit(None).cast("array<string>").alias("pcodes")).unionByName(
-        pairs.select(note, "k", F.lit(None).cast("string").alias("gold_label"), "pcodes"))
-    agg = rows.groupBy(note, "k").agg(
+    codes = pairs.select(note, "k", F.lit(None).cast("string").alias("gold_label"),
+                         F.lit(1).alias("pred"), F.explode_outer("pcodes").alias("code"))
+    rows = g.select(note, "k", "gold_label", F.lit(0).alias("pred"), F.lit(None).cast("string").alias("code"))
+    agg = rows.unionByName(codes).groupBy(note, "k").agg(
         F.first("gold_label", ignorenulls=True).alias("gold_label"),
-        F.count("pcodes").alias("n_pred"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("pcodes")))).alias("detected"))
+        F.max("pred").alias("n_pred"), F.array_sort(F.collect_set("code")).alias("detected"))
     outcome = (F.when(F.col("n_pred") == 0, "not_pred")
                 .when(F.size("detected") == 0, "FN")
                 .when(F.array_contains("detected", F.col("gold_label")), "TP").otherwise("FP"))
@@ -73,19 +73,24 @@ def unmapped_gold(gold: DataFrame, pred: DataFrame, note: str = "source") -> Dat
 
 
 def classify_full(gold: DataFrame, pred: DataFrame, equal_measures, note: str = "source") -> DataFrame:
-    """Per prediction overlapping gold (half-open): ``TP`` when the code
-    sets meet and the measures are equal (X18), else ``FP``; gold rows
-    overlapped by no prediction are ``FN`` (J20)."""
+    """Per prediction the codes and measures of all gold rows that it
+    overlaps (half-open) are pooled: ``TP`` when the code sets meet and the
+    measures are equal (X18), else ``FP``, also without any gold; gold rows
+    overlapped by no prediction are ``FN`` (J20).  The annotation's measure is
+    what follows its first ``_``."""
     g = gold.where(F.col("annotation").contains("_")).select(
         note, F.col("k").alias("gk"), F.col("s").alias("gs"), F.col("e").alias("ge"),
-        F.array(F.split("annotation", "_")[0]).alias("gcodes"),
-        F.array(F.split("annotation", "_")[1]).alias("gfound"))
+        F.split("annotation", "_", 2)[0].alias("gcode"), F.split("annotation", "_", 2)[1].alias("gmeasure"))
     p = pred.select(note, "k", "s", "e", "codes", "found")
-    pairs = spans.overlap_join(p, g, [note], ("s", "e"), ("gs", "ge"), closed=False)
+    pairs = spans.overlap_join(p.select(note, "k", "s", "e"), g, [note], ("s", "e"), ("gs", "ge"), closed=False)
+    # one group per prediction, made of its own row and its overlapping golds
+    rows = p.select(note, "k", "codes", "found").unionByName(pairs.select(note, "k", "gcode", "gmeasure"), True)
+    pooled = rows.groupBy(note, "k").agg(
+        F.first("codes", ignorenulls=True).alias("codes"), F.first("found", ignorenulls=True).alias("found"),
+        F.collect_set("gcode").alias("gcodes"), F.collect_list("gmeasure").alias("gfound"))
     ok = F.arrays_overlap("codes", "gcodes") & equal_measures(F.col("found"), F.col("gfound"))
-    per_pred = pairs.groupBy(note, "k").agg(F.max(ok.cast("int")).alias("ok"))
-    tp_fp = per_pred.select(note, "k", F.lit("pred").alias("side"),
-                            F.when(F.col("ok") == 1, "TP").otherwise("FP").alias("outcome"))
+    tp_fp = pooled.select(note, "k", F.lit("pred").alias("side"),
+                          F.when(F.coalesce(ok, F.lit(False)), "TP").otherwise("FP").alias("outcome"))
     fn = unmapped_gold(g.select(note, F.col("gk").alias("k"), F.col("gs").alias("s"), F.col("ge").alias("e")),
                        p, note).select(note, "k", F.lit("gold").alias("side"), F.lit("FN").alias("outcome"))
     return tp_fp.unionByName(fn)
@@ -171,9 +176,12 @@ def bootstrap_exact(outcomes: DataFrame, draws: int, col: str = "outcome", seed:
     # the class counts are one row: joined to every resample id on a constant key
     counts = (_class_counts(outcomes, col).withColumn("n", F.col("tp") + F.col("fp") + F.col("fn"))
               .withColumn("_one", F.lit(0)))
+    # slots in two steps, so that no row holds an array of n elements
     slots = (spark.range(draws).select(F.col("id").alias("b"), F.lit(0).alias("_one"))
-             .join(F.broadcast(counts), "_one")
-             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))))
+             .join(F.broadcast(counts), "_one").where(F.col("n") > 0)
+             .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(n - 1) div 4096"))))
+             .withColumn("i", F.explode(F.sequence(F.col("_block") * 4096,
+                                                   F.least(F.col("_block") * 4096 + 4095, F.col("n") - 1)))))
     h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}_"), F.col("b").cast("string"), F.lit("_"),
                                           F.col("i").cast("string"))), 1, 8), 16, 10).cast("bigint")
     idx = F.pmod(h, F.col("n"))
@@ -186,7 +194,8 @@ def bootstrap_exact(outcomes: DataFrame, draws: int, col: str = "outcome", seed:
 def bootstrap_multinomial(outcomes: DataFrame, draws: int, col: str = "outcome", seed: int = 42,
                           slices: int = 64) -> DataFrame:
     """E07 (fast): each resample is one multinomial draw over the class
-    counts; resamples are generated in Arrow batches with a per-batch seed."""
+    counts, seeded by the resample's id (per 1,024 ids), so that the result does
+    not depend on how rows are batched."""
     spark = outcomes.sparkSession
     counts = _class_counts(outcomes, col).withColumn("_one", F.lit(0))
     ids = (spark.range(0, draws, 1, numPartitions=slices).withColumn("_one", F.lit(0))
@@ -198,8 +207,12 @@ def bootstrap_multinomial(outcomes: DataFrame, draws: int, col: str = "outcome",
                 continue
             tp, fp, fn = (int(pdf[c].iloc[0]) for c in ("tp", "fp", "fn"))
             n = tp + fp + fn
-            rng = np.random.default_rng([seed, int(pdf["id"].iloc[0])])
-            x = rng.multinomial(n, [tp / n, fp / n, fn / n], size=len(pdf)) if n else np.zeros((len(pdf), 3), int)
+            x = np.zeros((len(pdf), 3), int)
+            ids = pdf["id"].to_numpy()
+            for block in np.unique(ids // 1024) if n else []:
+                drawn = np.random.default_rng([seed, block]).multinomial(n, [tp / n, fp / n, fn / n], size=1024)
+                own = ids // 1024 == block
+                x[own] = drawn[ids[own] % 1024]
             yield pd.DataFrame({"tp": x[:, 0], "fp": x[:, 1], "fn": x[:, 2]})
 
     per = ids.mapInPandas(draw, "tp long, fp long, fn long")

@@ -74,11 +74,28 @@ def label_combo(labels: Column, must: Sequence[str], must_not: Sequence[str]) ->
     return cond
 
 
+def groups_with_labels(df: DataFrame, group: Sequence[str], label: str, must: Sequence[str],
+                       must_not: Sequence[str]) -> DataFrame:
+    """P11 over rows: the groups whose labels hold all of ``must`` and none of
+    ``must_not``, by booleans that are aggregated before the shuffle."""
+    has = {x: F.bool_or(F.col(label) == x) for x in [*must, *must_not]}
+    flags = df.groupBy(*group).agg(*[v.alias(f"_{i}") for i, v in enumerate(has.values())])
+    cond = F.lit(True)
+    for i in range(len(has)):
+        cond = cond & (F.col(f"_{i}") if i < len(must) else ~F.col(f"_{i}"))
+    return flags.where(cond).select(*group)
+
+
 def any_substring(values: Column, needle: str) -> Column:
     """Some element contains ``needle``."""
     return F.exists(values, lambda x: x.contains(needle))
 
 
+def any_row_contains(value: Column, needle: str) -> Column:
+    """P12 as an aggregate over the rows of a group."""
+    return F.bool_or(value.contains(needle))
+
+
 def filter_expr(df: DataFrame, expr: str | None, text_col: str = "note_text",
                 entities_col: str | None = None) -> DataFrame:
     """Caller-supplied predicate; empty notes (and optionally notes
@@ -112,9 +129,10 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def union_sets(df: DataFrame, group: Sequence[str], col: str, out: str) -> DataFrame:
-    """Per group, the sorted union of the set column."""
-    return df.groupBy(*group).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(col)))).alias(out))
+    """Per group, the sorted union of the set column; repeats go before
+    the shuffle."""
+    code = df.select(*group, F.explode_outer(col).alias("_x"))
+    return code.groupBy(*group).agg(F.array_sort(F.collect_set("_x")).alias(out))
 
 
 def sets_meet(a: Column, b: Column) -> Column:

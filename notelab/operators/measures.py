@@ -29,6 +29,7 @@ from notelab.functions import units as un
 from notelab.functions.text import remove_variants
 
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
+DATE = r"[0-3]?[0-9]/[01]?[0-9]/[0-9]{4}"
 
 MEASURE_TYPE = ("struct<value_range:string,value:double,unit:string,dim:string,base_value:double,"
                 "start:int,end:int,lexical_variant:string>")
@@ -51,13 +52,16 @@ def _alt(terms: Sequence[str]) -> str:
 
 
 def measure_pattern(units: Sequence[un.Unit] = (), table_mode: bool = False) -> str:
-    """Regex with groups 1 range word, 2 number, 3 unit, 4 divisor unit."""
+    """Regex with groups 1 range word, 2 number, 3 unit, 4 divisor unit; all
+    are empty for a date."""
     terms = un.term_table(tuple(units) or tuple(u for u in un.UNITS if u.dim != "time"))
     unit_alt = _alt(list(terms))
     range_alt = _alt([t for t, _ in un.RANGE_TERMS])
     gap = r"[\s|]*" if table_mode else r"\s*"
     div = "|".join(rx_escape(d) + (r"\b" if d[-1].isalnum() else "") for d in un.UNIT_DIVISORS)
-    return (rf"(?:({range_alt})\s*)?\b({NUMBER}){gap}({unit_alt})"
+    # a date is matched first, as a whole and without groups, so that none of
+    # its numbers is read as a value
+    return (rf"\b{DATE}\b|(?:({range_alt})\s*)?\b({NUMBER}){gap}({unit_alt})"
             rf"(?:\s*(?:{div})\s*({unit_alt}))?")
 
 
@@ -115,7 +119,7 @@ def extract_measures(text: Column, table_mode: bool = False, units: Sequence[un.
     terms = un.term_table(unit_set)
     ranges = dict(un.RANGE_TERMS)
     norm = normalize_for_matching(text)
-    found = find_all(norm, measure_pattern(unit_set, table_mode), [1, 2, 3, 4])
+    found = F.filter(find_all(norm, measure_pattern(unit_set, table_mode), [1, 2, 3, 4]), lambda x: x["g2"] != "")
 
     def to_measure(x: Column) -> Column:
         u1, u2 = _unit_of(x["g3"], terms), _unit_of(x["g4"], terms)
@@ -286,7 +290,7 @@ def format_measure(m: Column) -> Column:
 
 
 def parse_measure(s: Column) -> Column:
-    """X13 inverse; accepts ``"range value unit"`` and the older
+    """X13 inverse (of one measure); accepts ``"range value unit"`` and the older
     ``"value unit"`` form."""
     parts = F.split(F.trim(s), " +")
     three = F.size(parts) >= 3
@@ -381,8 +385,7 @@ DATE_PATTERN = r"\b([0-3]?[0-9])/([01]?[0-9])/([0-9]{4})\b"
 
 def detect_dates(df: DataFrame, ids: Sequence[str], text: Column) -> DataFrame:
     """``dd/mm/yyyy`` dates with offsets; invalid calendar dates are
-    skipped.  Numbers inside dates are not measures (the measure grammar
-    never reads a number followed by ``/digit``)."""
+    skipped.  The measure grammar steps over dates (``DATE``)."""
     found = find_all(text, DATE_PATTERN, [1, 2, 3])
     rows = df.select(*ids, F.explode(found).alias("x"))
     d, m, y = (F.col(f"x.g{i}").cast("int") for i in (1, 2, 3))

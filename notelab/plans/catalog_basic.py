@@ -254,15 +254,13 @@ def p10(spark, sf_dir):
 
 
 @query("P11_label_combo", W("""
-select source, kk from (select source, k // 3 kk, list(label) labels from d_inner where k % 4 <> 0
-                        group by source, k // 3) t
+select source, kk from (select source, k // 2 kk, list(label) labels from d_inner group by source, k // 2) t
 where list_contains(labels, 'DISO') and list_contains(labels, 'BIO')
   and not list_contains(labels, 'Chemical_and_drugs')""", "d_inner"))
 def p11(spark, sf_dir):
     i = tb.d_inner(tb.tables(spark, sf_dir).documents)
-    g = i.where(F.col("k") % 4 != 0).groupBy("source", F.expr("k div 3").alias("kk")).agg(
-        F.collect_list("label").alias("labels"))
-    return g.where(fl.label_combo(F.col("labels"), ["DISO", "BIO"], ["Chemical_and_drugs"])).select("source", "kk")
+    pairs = i.select("source", F.expr("k div 2").alias("kk"), "label")
+    return fl.groups_with_labels(pairs, ["source", "kk"], "label", ["DISO", "BIO"], ["Chemical_and_drugs"])
 
 
 @query("P12_any_substring", W("""
@@ -270,7 +268,7 @@ select CUI, len(list_filter(list(SAB), lambda x: contains(x, '#1'))) > 0 has_sou
                               "d_mrconso"))
 def p12(spark, sf_dir):
     m = tb.d_mrconso(tb.tables(spark, sf_dir).part)
-    return m.groupBy("CUI").agg(fl.any_substring(F.collect_list("SAB"), "#1").alias("has_source"))
+    return m.groupBy("CUI").agg(fl.any_row_contains(F.col("SAB"), "#1").alias("has_source"))
 
 
 @query("P13_filter_expr", """

@@ -24,17 +24,18 @@ def o03(spark, sf_dir):
 @query("O04_sample_n", W(f"""
 select uid, label from (
   select *, row_number() over (partition by label order by {_HK.format(x='uid')}, uid) r
-  from (select concat(source, '#', cast(k as varchar)) uid, label from d_inner where doc_id % 7 = 0) a) t
+  from (select concat(source, '#', cast(k as varchar)) uid, label from d_inner) a) t
 where r <= 10""", "d_inner"))
 def o04(spark, sf_dir):
-    i = tb.d_inner(tb.tables(spark, sf_dir).documents).where(F.col("doc_id") % 7 == 0).select(
+    i = tb.d_inner(tb.tables(spark, sf_dir).documents).select(
         F.concat("source", F.lit("#"), F.col("k").cast("string")).alias("uid"), "label")
     return cp.sample_n(i, ["label"], "uid", 10)
 
 
 @query("O06_positional_split", f"""
-select doc_id, case when f < 0.8 then 'train' when f < 0.9 then 'val' else 'test' end split
-from (select doc_id, {_HF.format(x='cast(doc_id as varchar)')} f from documents) t""")
+select doc_id, case when p < floor(0.8 * n) then 'train' when p < floor(0.9 * n) then 'test' else 'val' end split
+from (select doc_id, row_number() over (order by {_HK.format(x='doc_id')}, doc_id) - 1 p, count(*) over () n
+      from documents) t""")
 def o06(spark, sf_dir):
     d = tb.tables(spark, sf_dir).documents.select("doc_id")
     return cp.positional_split(d, "doc_id")

@@ -57,22 +57,24 @@ def a09(spark, sf_dir):
 
 # Predictions overlapping gold with a measure; X18 equality on parsed measures.
 _E02_CTE = sm.unit_ctes() + """,
-gm as (select source, k gk, s gs, e ge, split_part(annotation, '_', 1) gcode, split_part(annotation, '_', 2) gfound
+gm as (select source, k gk, s gs, e ge, left(annotation, instr(annotation, '_') - 1) gcode,
+              string_split(substring(annotation, instr(annotation, '_') + 1), ' ') gp
        from d_gold where contains(annotation, '_')),
 pp as (select source, k, s, e, codes, found from d_pred),
-pairs as (select p.*, g.gk, g.gcode, g.gfound from pp p join gm g
-          on g.source = p.source and least(p.e, g.ge) > greatest(p.s, g.gs)),
-pm as (select *, regexp_split_to_array(found[1], ' ') fp, regexp_split_to_array(gfound, ' ') gp from pairs),
-pv as (select pm.*, ua.dim fdim, try_cast(fp[2] as double) * ua.scale fbv, ub.dim gdim,
-              try_cast(gp[2] as double) * ub.scale gbv
-       from pm left join unit_all ua on ua.unit = fp[3] left join unit_all ub on ub.unit = gp[3]),
-per_pred as (
-  select source, k, max(case when list_contains(codes, gcode) and len(found) = 1 and
-      coalesce(fdim = gdim and abs(fbv - gbv) <= 1e-9 * greatest(abs(fbv), abs(gbv), 1.0) and fp[1] = gp[1], false)
-      then 1 else 0 end) ok
-  from pv group by source, k),
+golds as (select p.source, p.k, g.gcode, g.gp[1] gr, u.dim gdim, try_cast(g.gp[2] as double) * u.scale gbv
+          from pp p join gm g on g.source = p.source and least(p.e, g.ge) > greatest(p.s, g.gs)
+          left join unit_all u on u.unit = g.gp[3]),
+founds as (select f.source, f.k, f.fp[1] fr, u.dim fdim, try_cast(f.fp[2] as double) * u.scale fbv
+           from (select source, k, string_split(unnest(found), ' ') fp from pp) f
+           left join unit_all u on u.unit = f.fp[3]),
+unequal as (select distinct source, k from founds f where not exists (
+              select 1 from golds g where g.source = f.source and g.k = f.k and g.gr = f.fr and g.gdim = f.fdim
+              and abs(g.gbv - f.fbv) <= 1e-9 * greatest(abs(g.gbv), abs(f.fbv), 1.0))),
+pool as (select source, k, list(gcode) gcodes, count(*) n from golds group by source, k),
 e02 as (
-  select source, k, 'pred' side, case when ok = 1 then 'TP' else 'FP' end outcome from per_pred
+  select p.source, p.k, 'pred' side,
+         case when l.n = len(p.found) and list_has_any(p.codes, l.gcodes) and u.k is null then 'TP' else 'FP' end outcome
+  from pp p left join pool l on l.source = p.source and l.k = p.k left join unequal u on u.source = p.source and u.k = p.k
   union all
   select source, gk, 'gold', 'FN' from gm g
   where not exists (select 1 from pp p where p.source = g.source and least(p.e, g.ge) > greatest(p.s, g.gs)))"""
@@ -108,13 +110,13 @@ def e04(spark, sf_dir):
 
 @query("E03_any_measure_match", W("""
 select count(*) n, cast(sum(hit) as bigint) n_tp, sum(hit) / count(*) "precision" from (
-  select p.source, p.k, max(case when list_contains(p.found, split_part(g.annotation, '_', 2)) then 1 else 0 end) hit
+  select p.source, p.k, max(case when list_contains(p.found, substring(g.annotation, instr(g.annotation, '_') + 1)) then 1 else 0 end) hit
   from d_pred p join d_gold g on g.source = p.source and g.k = p.k where contains(g.annotation, '_')
   group by p.source, p.k) t""", "d_pred", "d_gold"))
 def e03(spark, sf_dir):
     g, p = _gp(spark, sf_dir)
     j = p.join(g.where(F.col("annotation").contains("_")).select("source", "k", "annotation"), ["source", "k"])
-    hit = F.exists("found", lambda f: f == F.split(F.col("annotation"), "_")[1]).cast("int")
+    hit = F.exists("found", lambda f: f == F.split(F.col("annotation"), "_", 2)[1]).cast("int")
     per = j.groupBy("source", "k").agg(F.max(hit).alias("hit"))
     return per.agg(F.count(F.lit(1)).alias("n"), F.sum("hit").cast("bigint").alias("n_tp"),
                    (F.sum("hit") / F.count(F.lit(1))).alias("precision"))

@@ -211,7 +211,7 @@ select source, k, vr value_range, try_cast(v as double) value, u unit, i.dim,
        try_cast(v as double) * i.scale base_value
 from (select source, k, p, case when len(p) >= 3 then p[1] else '=' end vr,
              case when len(p) >= 3 then p[2] else p[1] end v, case when len(p) >= 3 then p[3] else p[2] end u
-      from (select source, k, regexp_split_to_array(trim(split_part(annotation, '_', 2)), ' +') p
+      from (select source, k, regexp_split_to_array(trim(substring(annotation, instr(annotation, '_') + 1)), ' +') p
             from d_gold where contains(annotation, '_')) a) b
 left join unit_all i on i.unit = b.u"""
 
@@ -219,7 +219,7 @@ left join unit_all i on i.unit = b.u"""
 @query("X13_parse_measure", W(_X13P_SQL, "d_gold", extra=sm.unit_ctes()))
 def x13p(spark, sf_dir):
     g = tb.d_gold(tb.tables(spark, sf_dir).documents).where(F.col("annotation").contains("_"))
-    m = ms.parse_measure(F.split(F.col("annotation"), "_")[1])
+    m = ms.parse_measure(F.split(F.col("annotation"), "_", 2)[1])
     return g.select("source", "k", *[m[c].alias(c) for c in ("value_range", "value", "unit", "dim", "base_value")])
 
 
@@ -254,7 +254,7 @@ with_gold as (
   select p.source, p.k, p.found, g.annotation from d_pred p join d_gold g on g.source = p.source and g.k = p.k
   where contains(g.annotation, '_')),
 pf as (select source, k, regexp_split_to_array(unnest(found), ' ') p from with_gold),
-gf as (select source, k, regexp_split_to_array(split_part(annotation, '_', 2), ' ') p from with_gold),
+gf as (select source, k, regexp_split_to_array(substring(annotation, instr(annotation, '_') + 1), ' ') p from with_gold),
 pm as (select source, k, p[1] vr, i.dim, try_cast(p[2] as double) * i.scale bv from pf
        left join unit_all i on i.unit = p[3]),
 gm as (select source, k, p[1] vr, i.dim, try_cast(p[2] as double) * i.scale bv from gf
@@ -275,5 +275,5 @@ def x18(spark, sf_dir):
     g = tb.d_gold(docs).where(F.col("annotation").contains("_")).select("source", "k", "annotation")
     j = p.join(g, ["source", "k"])
     found = F.transform("found", ms.parse_measure)
-    gold = F.array(ms.parse_measure(F.split(F.col("annotation"), "_")[1]))
+    gold = F.array(ms.parse_measure(F.split(F.col("annotation"), "_", 2)[1]))
     return j.select("source", "k", ms.measures_equal(found, gold).alias("equal"))

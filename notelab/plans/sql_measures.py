@@ -65,7 +65,7 @@ def measures(src: str, ids: str, text: str, table_mode: bool = False, units: tup
          v * case when f.g4 = '' then i1.scale else i1.scale / i2.scale end base_value,
          f.start, cast(f.start + length(f.m) as integer) "end",
          substring(f._txt, f.start + 1, length(f.m)) lexical_variant
-  from (select *, cast(replace(g2, ',', '.') as double) v from {f}) f
+  from (select *, cast(replace(g2, ',', '.') as double) v from {f} where g2 <> '') f
   left join range_terms r on r.term = f.g1
   left join unit_terms t1 on t1.term = f.g3
   left join unit_terms t2 on t2.term = f.g4

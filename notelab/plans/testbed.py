@@ -6,14 +6,14 @@ terminology tables).  Every derived table below is computed by Spark from
 the given tables, so its size grows with theirs.  ``ORACLE_CTES`` holds the
 same definitions as DuckDB SQL for the oracle side.
 
-Mention layout (per document with at least 100 characters):
+Mention layout (over the whole of every text that is not empty):
 
-* ``d_keys``: one ``BIO_comp`` key mention of 30 characters every 50
-  characters, ``k = 0 .. n_chars div 50 - 2``.
+* ``d_keys``: one ``BIO_comp`` key mention of up to 30 characters every 50
+  characters, ``k = 0 .. (length - 1) div 50``; the last may be shorter.
 * ``d_inner``: three inner mentions per key position ``j = 0, 1, 2`` with
   id ``3k + j``: a 6-char and an 8-char mention inside the key, and a
   26-char mention that starts at offset 27..31 (so it overlaps, touches
-  or misses the key) and always reaches into the next key.
+  or misses the key) and reaches into the next key; all end with the text.
 """
 
 from __future__ import annotations
@@ -34,25 +34,28 @@ def _src(doc_id: Column) -> Column:
 
 
 def _positions(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col("n_chars") >= 100).select(
-        "doc_id", "text",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("n_chars div 50 - 2"))).alias("k"),
-    )
+    """One row per 50 characters: the piece of text from there on that its
+    mentions can reach (two pieces), not the whole text."""
+    cut = documents.where(F.length("text") > 0).select(
+        "doc_id", F.regexp_extract_all("text", F.lit("(?s).{1,50}"), F.lit(0)).alias("c"))
+    pairs = F.arrays_zip(F.col("c").alias("piece"), F.concat(F.expr("slice(c, 2, size(c))"), F.array(F.lit(""))).alias("after"))
+    return cut.select("doc_id", F.posexplode(pairs).alias("k", "x")).select(
+        "doc_id", F.col("k").cast("bigint").alias("k"), F.col("x")["piece"].alias("piece"), F.col("x")["after"].alias("after"))
 
 
 def d_keys(documents: DataFrame) -> DataFrame:
     p = _positions(documents)
     return p.select(
         _src(F.col("doc_id")).alias("source"), "doc_id", "k",
-        (F.col("k") * 50).alias("s"), (F.col("k") * 50 + 30).alias("e"),
+        (F.col("k") * 50).alias("s"), (F.col("k") * 50 + F.least(F.lit(30), F.length("piece"))).alias("e"),
         F.lit("BIO_comp").alias("label"),
-        F.expr("substring(text, cast(50 * k + 1 as int), 30)").alias("term"),
+        F.substring("piece", 1, 30).alias("term"),
     )
 
 
 def d_inner(documents: DataFrame) -> DataFrame:
     p = _positions(documents).select(
-        "doc_id", "text", "k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("j"))
+        "doc_id", F.concat("piece", "after").alias("near"), "k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("j"))
     s = (F.when(F.col("j") == 0, F.col("k") * 50 + (F.col("doc_id") + F.col("k")) % 37)
           .when(F.col("j") == 1, F.col("k") * 50 + (F.col("doc_id") + 3 * F.col("k")) % 41)
           .otherwise(F.col("k") * 50 + 27 + (F.col("doc_id") + F.col("k")) % 5))
@@ -60,13 +63,11 @@ def d_inner(documents: DataFrame) -> DataFrame:
     lab = (F.when((F.col("doc_id") + 2 * F.col("k") + F.col("j")) % 3 == 0, "BIO")
              .when((F.col("doc_id") + 2 * F.col("k") + F.col("j")) % 3 == 1, "DISO")
              .otherwise("Chemical_and_drugs"))
-    q = p.select("doc_id", "text", (3 * F.col("k") + F.col("j")).alias("k"),
-                 s.alias("s"), ln.alias("ln"), lab.alias("label"))
-    return q.select(
+    term = F.substring(F.col("near"), (s - F.col("k") * 50 + 1).cast("int"), ln)
+    q = p.select("doc_id", (3 * F.col("k") + F.col("j")).alias("k"), s.alias("s"), lab.alias("label"), term.alias("term"))
+    return q.where(F.length("term") > 0).select(
         _src(F.col("doc_id")).alias("source"), "doc_id", "k", "s",
-        (F.col("s") + F.col("ln")).alias("e"), "label",
-        F.expr("substring(text, cast(s + 1 as int), ln)").alias("term"),
-    )
+        (F.col("s") + F.length("term")).alias("e"), "label", "term")
 
 
 def d_mentions(documents: DataFrame) -> DataFrame:
@@ -271,16 +272,16 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 # DuckDB definitions of the same derived tables (oracle side).
 # ---------------------------------------------------------------------------
 
-_POS = ("(select doc_id, text, unnest(generate_series(0, n_chars // 50 - 2)) k "
-        "from documents where n_chars >= 100)")
+_POS = ("(select doc_id, text, unnest(generate_series(0, (length(text) - 1) // 50)) k "
+        "from documents where length(text) > 0)")
 
 ORACLE_CTES: dict[str, str] = {
     "d_keys": f"""
-select concat(cast(doc_id as varchar), '.ann') source, doc_id, k, 50 * k s, 50 * k + 30 e,
+select concat(cast(doc_id as varchar), '.ann') source, doc_id, k, 50 * k s, 50 * k + least(30, length(text) - 50 * k) e,
        'BIO_comp' label, substring(text, cast(50 * k + 1 as integer), 30) term
 from {_POS} p""",
     "d_inner": f"""
-select source, doc_id, 3 * k + j k, s, s + ln e, label,
+select source, doc_id, 3 * k + j k, s, least(s + ln, length(text)) e, label,
        substring(text, cast(s + 1 as integer), cast(ln as integer)) term
 from (
   select concat(cast(doc_id as varchar), '.ann') source, doc_id, text, k, j,
@@ -291,7 +292,7 @@ from (
          case (doc_id + 2 * k + j) % 3 when 0 then 'BIO' when 1 then 'DISO'
               else 'Chemical_and_drugs' end label
   from {_POS} p, (values (0), (1), (2)) v(j)
-) q""",
+) q where s < length(text)""",
     "d_mentions": """
 select source, doc_id, k, s, e, label, term from d_keys
 union all
