@@ -13,14 +13,20 @@ and only what reaches the threshold that is left is probed in the long ones.
   shingles, l = 1 + n // 50.  Only these are indexed.  Two similar sets share
   at least min(l) of them, so candidates below that are dropped; all other
   lists are long and skipped by the merge.
+* A shingle of a short list at place i of one set and j of the other bounds
+  the overlap: what is shared before it lies in lists that hold other
+  documents too (a and b such places), what comes after is at most the
+  shorter rest: 1 + min(a, b) + min(n - i - 1, m - j - 1).  Pairs whose bound
+  is below T never leave the join.  Near copies that differ too much to link
+  have shingles of their own, come first in the order, and fail here.
 * Candidates are verified by binary-probing: the shingles of one set, those of
   the skipped lists included, are looked up in the sorted set of the other.
 
 Exact copies (equal sets) collapse to one representative first.  Then links
 are found in two rounds, because a group of k near copies has k**2 / 2 links
-but needs k - 1: first each document of a list against the list's first;
-after connected components, all pairs of a list that lie in different
-components.  Pairs inside a component cannot change the result and are the
+but needs k - 1: first each document of a list against one head, the one with
+the fewest shingles of its own; after connected components, all pairs of a
+list that lie in different components.  Pairs inside a component cannot change the result and are the
 only ones left out.
 
 Texts never shuffle: sets are hashed again for the documents that candidates
@@ -41,7 +47,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notelab.llm import bytewords as bw
@@ -242,8 +248,13 @@ def _slack(n: Column) -> Column:
     return F.floor(n / SLACK).cast("long") + 1
 
 
-def _similar_size(n: Column, m: Column, percent: int) -> Column:
-    return (F.lit(100) * F.least(n, m)) >= (F.lit(percent) * F.greatest(n, m))
+def _may_reach(percent: int) -> Column:
+    """Whether the sizes, and the bound by the places of a shared shingle,
+    allow the overlap that similarity takes."""
+    n, i, a = (F.col(f"x_{c}") for c in ("n", "i", "a"))
+    m, j, b = (F.col(f"y_{c}") for c in ("n", "i", "a"))
+    most = 1 + F.least(a, b) + F.least(n - i - 1, m - j - 1)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
@@ -255,37 +266,39 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    "short-lists")
     classes = written(sets.filter(F.col("n") > 0).groupBy("lo", "hi", "n").agg(F.min("doc_id").alias("rep")), "classes")
     reps = sets.join(classes.select(F.col("rep").alias("doc_id"), "lo", "hi", "n"), ["doc_id", "lo", "hi", "n"], "left_semi")
-    postings = reps.select("doc_id", F.col("n").cast("int").alias("n"), F.explode("tokens").alias("token"))
-    lists = written(
-        postings.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct("n", "doc_id")).alias("head"))
-        .filter(F.col("df") > 1).select("token", F.col("head.n").alias("head_n"), F.col("head.doc_id").alias("head_id")),
-        "lists")
-    postings = written(postings.join(lists, "token"), "postings")
-
-    # round 1: each document of a list against the first, where they share enough
-    n, m = F.col("n"), F.col("head_n")
-    star = (postings.filter((F.col("doc_id") != F.col("head_id")) & _similar_size(n, m, percent))
-            .groupBy(F.col("doc_id").alias("a"), F.col("head_id").alias("b"))
-            .agg(F.count("*").alias("shared"), F.first(F.least(n, m)).alias("least"))
+    postings = reps.select("doc_id", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("i", "token"))
+    lists = written(postings.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") > 1).select("token"), "lists")
+    # a: places before i whose lists hold other documents (a document's rows
+    # are a tenth of its shingles, so the window is bounded)
+    earlier = Window.partitionBy("doc_id").orderBy("i")
+    postings = written(postings.join(lists, "token").withColumn("a", F.row_number().over(earlier) - 1), "postings")
+
+    # round 1: each document of a list against its head, where they share enough
+    heads = written(
+        postings.groupBy("token").agg(F.min(F.struct((F.col("i") - F.col("a")).alias("own"), "doc_id", "n", "i", "a")).alias("h"))
+        .select("token", *(F.col(f"h.{c}").alias(f"y_{c}") for c in ("doc_id", "n", "i", "a"))), "heads")
+    x = postings.select("token", *(F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "i", "a")))
+    star = (x.join(heads, "token").filter((F.col("x_doc_id") != F.col("y_doc_id")) & _may_reach(percent))
+            .groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
+            .agg(F.count("*").alias("shared"), F.first(F.least("x_n", "y_n")).alias("least"))
             .filter(F.col("shared") >= _slack(F.col("least"))).select("a", "b"))
     edges = written(verified(docs, star, k, percent), "links")
     found = connected_components(edges)
 
     # round 2: pairs of a list in different components; x is outside the
     # largest component of the list, so lists within one component cost nothing
-    place = written(postings.select("token", "doc_id", "n").join(
-        found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("token", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "placed")
+    place = written(postings.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                    .select("token", "doc_id", "n", "i", "a", F.coalesce("component", "doc_id").alias("c")), "placed")
     mixed = written(
         place.groupBy("token", "c").agg(F.count("*").alias("df"))
         .groupBy("token").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("df", "c")).alias("main"))
         .filter(F.col("parts") > 1).select("token", "main"), "mixed")
     place = written(place.join(mixed, "token"), "placed")
-    x = place.filter(F.col("c") != F.col("main")).select("token", *(F.col(v).alias(f"x_{v}") for v in ("doc_id", "n", "c")))
-    y = place.select("token", "main", *(F.col(v).alias(f"y_{v}") for v in ("doc_id", "n", "c")))
+    x = place.filter(F.col("c") != F.col("main")).select("token", *(F.col(v).alias(f"x_{v}") for v in ("doc_id", "n", "i", "a", "c")))
+    y = place.select("token", "main", *(F.col(v).alias(f"y_{v}") for v in ("doc_id", "n", "i", "a", "c")))
     across = x.join(y, "token").filter(
         (F.col("x_c") != F.col("y_c")) & ((F.col("y_c") == F.col("main")) | (F.col("x_doc_id") < F.col("y_doc_id")))
-        & _similar_size(F.col("x_n"), F.col("y_n"), percent))
+        & _may_reach(percent))
     across = across.select(
         F.least("x_doc_id", "y_doc_id").alias("a"), "token", F.greatest("x_doc_id", "y_doc_id").alias("b"),
         _slack(F.least("x_n", "y_n")).alias("least"))
