@@ -103,8 +103,8 @@ def frequent_shingles(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     """At most HOT_MOST frequent shingles, the most frequent last."""
     rows = (docs.select(F.col(text_col).cast("string")).mapInArrow(_frequent(k), "token long, n long")
             .groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_LEAST)
-            .orderBy(F.desc("n"), "token").limit(HOT_MOST).collect())
-    return np.array([r.token for r in reversed(rows)], np.int64).view(np.uint64)
+            .orderBy(F.desc("n"), "token").limit(HOT_MOST).select("token").toArrow())
+    return rows["token"].to_numpy()[::-1].copy().view(np.uint64)
 
 
 class Order:

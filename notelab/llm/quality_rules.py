@@ -228,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted, name = with_counts(narrow, keep=["doc_id", "label"])
     # repeated rows of an id count once, which keeps the bound
     rows = (counted.groupBy("doc_id").agg(F.max("label").alias("label"), F.max(name).alias(name))
-            .select("doc_id", "label", f"{name}.*").toPandas().sort_values("doc_id"))
+            .select("doc_id", "label", f"{name}.*").toArrow().to_pandas().sort_values("doc_id"))
     if not len(rows):
         return []
     counts = {c: rows[c].to_numpy() for c in COUNTS}
