@@ -113,12 +113,14 @@ def x19(spark, sf_dir):
     return e.select("vec_id", F.transform(sim.l2_normalize(F.col("embedding")), lambda x: F.round(x, 6)).alias("unit_vec"))
 
 
+# Unit vectors once; DuckDB's own dot product (both sides round its result).
+_UNIT_SQL = f"unit as materialized (select vec_id, label, {_norm_sql('embedding')} v from embeddings)"
 _J14_SQL = f"""
+with {_UNIT_SQL}
 select vec_id, best_id, round(s, 6) sim, best_label from (
-  select q.vec_id, d.vec_id best_id, d.label best_label,
-         {_dot_sql(_norm_sql('q.embedding'), _norm_sql('d.embedding'))} s,
-         row_number() over (partition by q.vec_id order by round({_dot_sql(_norm_sql('q.embedding'), _norm_sql('d.embedding'))}, 9) desc, d.vec_id) rn
-  from embeddings q, embeddings d where q.vec_id % 10 <> 0 and d.vec_id % 10 = 0) t
+  select *, row_number() over (partition by vec_id order by round(s, 9) desc, best_id) rn
+  from (select q.vec_id, d.vec_id best_id, d.label best_label, list_dot_product(q.v, d.v) s
+        from unit q, unit d where q.vec_id % 10 <> 0 and d.vec_id % 10 = 0) p) t
 where rn = 1"""
 
 
@@ -141,20 +143,23 @@ def j14(spark, sf_dir):
     return out.select("vec_id", "best_id", F.round(sim.dot(F.col("v"), F.col("dv")), 6).alias("sim"), "best_label")
 
 
-_V01_SQL_VEC = ("list_transform(range(64), lambda i: cast(len(list_filter(list_transform({grams}, "
-                "lambda g: cast(('0x' || substring(md5(g), 1, 8)) as bigint) % 64), lambda b: b = i)) as double))")
 _GRAMS3 = ("list_distinct(list_transform(range(1, greatest(length('##' || {x} || '##') - 2, 1) + 1), "
            "lambda i: substring('##' || {x} || '##', i, 3)))")
 
 
-def _encode_sql(x: str) -> str:
-    counts = _V01_SQL_VEC.format(grams=_GRAMS3.format(x=x))
-    return (f"list_transform({counts}, lambda c: c / greatest(sqrt(list_sum(list_transform({counts}, "
-            f"lambda y: y * y))), 1e-12))")
+def _encoded(src: str, ids: str, x: str) -> str:
+    """Relation: ids and v, the unit vector of hashed gram counts of ``x``;
+    buckets, counts and norm are each computed once."""
+    return f"""(
+  select {ids}, list_transform(c, lambda x: x / greatest(nrm, 1e-12)) v
+  from (select *, sqrt(list_sum(list_transform(c, lambda y: y * y))) nrm
+        from (select {ids}, list_transform(range(64), lambda i: cast(len(list_filter(bk, lambda z: z = i)) as double)) c
+              from (select {ids}, list_transform({_GRAMS3.format(x=x)},
+                           lambda g: cast(('0x' || substring(md5(g), 1, 8)) as bigint) % 64) bk from {src}) a) b) n)"""
 
 
 @query("V01_encode_terms", W(f"""
-select id, list_transform({_encode_sql('term')}, lambda x: round(x, 6)) vec from d_terms""", "d_terms"))
+select id, list_transform(v, lambda x: round(x, 6)) vec from {_encoded('d_terms', 'id', 'term')} t""", "d_terms"))
 def v01(spark, sf_dir):
     t = tb.d_terms(tb.tables(spark, sf_dir).part)
     return t.select("id", F.transform(sim.encode_terms(F.col("term")), lambda x: F.round(x, 6)).alias("vec"))
@@ -195,10 +200,10 @@ def v03(spark, sf_dir):
 
 _BATCH = 32
 _V04_SQL = f"""
+{_UNIT_SQL},
 pairs as (
-  select a.vec_id // {_BATCH} batch, a.vec_id a, b.vec_id b, a.label = b.label pos,
-         {_dot_sql(_norm_sql('a.embedding'), _norm_sql('b.embedding'))} sim
-  from embeddings a join embeddings b on a.vec_id // {_BATCH} = b.vec_id // {_BATCH} and a.vec_id <> b.vec_id),
+  select a.vec_id // {_BATCH} batch, a.vec_id a, b.vec_id b, a.label = b.label pos, list_dot_product(a.v, b.v) sim
+  from unit a join unit b on a.vec_id // {_BATCH} = b.vec_id // {_BATCH} and a.vec_id <> b.vec_id),
 marked as (
   select *, (pos and sim < 1 - 1e-5 and sim - 0.1 < max(case when not pos then sim end) over w)
             or (not pos and sim + 0.1 > min(case when pos and sim < 1 - 1e-5 then sim end) over w) hard
@@ -257,11 +262,11 @@ def v06(spark, sf_dir):
 
 @query("J15_nearest_in_block", W(f"""
 select source, k, gold_k, round(s, 6) sim from (
-  select p.source, p.k, g.k gold_k, {_dot_sql('pv', 'gv')} s,
-         row_number() over (partition by p.source, p.k order by round({_dot_sql('pv', 'gv')}, 9) desc, g.k) rn
-  from (select source, k, {_encode_sql('term')} pv from d_pred) p
-  join (select source, k, {_encode_sql('term')} gv from d_gold) g on g.source = p.source) t
-where rn = 1""", "d_pred", "d_gold"))
+  select *, row_number() over (partition by source, k order by round(s, 9) desc, gold_k) rn
+  from (select p.source, p.k, g.k gold_k, list_dot_product(p.v, g.v) s from pv p join gv g on g.source = p.source) x) t
+where rn = 1""", "d_pred", "d_gold", extra=f"""
+pv as materialized (select * from {_encoded('d_pred', 'source, k', 'term')} a),
+gv as materialized (select * from {_encoded('d_gold', 'source, k', 'term')} b)"""))
 def j15(spark, sf_dir):
     docs = tb.tables(spark, sf_dir).documents
     p = tb.d_pred(docs).select("source", "k", sim.encode_terms(F.col("term")).alias("pv"))
@@ -297,14 +302,14 @@ def j16(spark, sf_dir):
 select t.id, t.term, b.label, b.des from d_terms t join (
   select term, label, des from (
     select q.term, d.codes label, d.str des,
-           row_number() over (partition by q.term order by round({_dot_sql('q.qv', 'd.dv')}, 9) desc, d.str) rn
-    from (select term, {_encode_sql('norm')} qv
-          from (select distinct term, {tx.normalize_term_sql('term')} norm from d_terms) a) q,
-         (select str, codes, {_encode_sql('str')} dv from dict) d) x
+           row_number() over (partition by q.term order by round(list_dot_product(q.v, d.v), 9) desc, d.str) rn
+    from qv q, dv d) x
   where rn = 1) b on b.term = t.term""", "d_terms", "d_mrconso", extra=f"""
 dict as (select str, list_sort(list_distinct(list(code))) codes
          from (select {_NORM_DICT} str, CUI code from d_mrconso) t
-         where not (str = '' or regexp_matches(str, '^[0-9]+$')) group by str)"""))
+         where not (str = '' or regexp_matches(str, '^[0-9]+$')) group by str),
+qv as materialized (select * from {_encoded(f"(select distinct term, {tx.normalize_term_sql('term')} norm from d_terms) a", 'term', 'norm')} b),
+dv as materialized (select * from {_encoded('dict', 'str, codes', 'str')} c)"""))
 def d09(spark, sf_dir):
     from notelab.plans.normalize import normalize_terms
     part = tb.tables(spark, sf_dir).part

@@ -54,8 +54,10 @@ def apply_scale_conf(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` when set; only when it is
-    unset (local tests) pick a scratch folder of our own."""
+    """The shared folder for intermediate tables: the cluster's
+    ``spark.checkpoint.dir``.  Only a local session, whose executors share the
+    driver's disk, gets a scratch folder of its own when none is set; on a
+    cluster that would leave parts on each machine, so it is an error there."""
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir()
     if hasattr(current, "isDefined"):
@@ -64,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc._jsc.sc().getCheckpointDir().isDefined():
             sc.setCheckpointDir(current)
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     path = tempfile.mkdtemp(prefix="notelab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

@@ -43,11 +43,11 @@ def write_notes_jsonl(notes: DataFrame, path: str) -> None:
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """One facade: ``standoff`` directory, ``jsonl`` file(s) or the
-    parquet note store."""
-    from notelab.sources import standoff
+    """One facade, each giving notes with text and entities: a ``standoff``
+    corpus (packed tables ``lines`` and ``notes`` below ``path``), ``jsonl``
+    file(s) or the parquet note store."""
     if fmt == "standoff":
-        return standoff.read_standoff(spark, path)
+        return standoff_corpus(spark.read.parquet(f"{path}/lines"), spark.read.parquet(f"{path}/notes"))
     if fmt == "jsonl":
         return read_notes_jsonl(spark, path)
     if fmt == "parquet":
@@ -55,6 +55,33 @@ def read_corpus(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     raise ValueError(f"unknown corpus format {fmt!r}")
 
 
+def standoff_corpus(lines: DataFrame, notes: DataFrame) -> DataFrame:
+    """Notes ``(source, note_text)`` with the mentions and attributes of their
+    standoff lines ``(source, line)``."""
+    from notelab.operators.filters import parse_span
+    from notelab.sources import standoff
+    m = standoff.parse_mentions(lines).where(F.col("label") != "AnnotatorNotes")
+    m = m.join(standoff.parse_attributes(lines), ["source", "ann_id"], "left")
+    span = parse_span(F.col("span"))
+    entities = m.groupBy("source").agg(F.array_sort(F.collect_list(F.struct(
+        span[0].cast("int").alias("start"), span[1].cast("int").alias("end"), "label",
+        F.map_entries("attributes").alias("attributes")))).alias("entities"))
+    none = F.array().cast(entities.schema["entities"].dataType)
+    return notes.join(entities, "source", "left").select(
+        F.col("source").alias("note_id"), "note_text", F.coalesce("entities", none).alias("entities"))
+
+
+def write_frame_json(df: DataFrame, path: str, index: str, max_rows: int = 100_000) -> None:
+    """S08 sink, for small result frames: the layout is one object per column,
+    so a frame is one row of one file.  Raises beyond ``max_rows``."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"frame of more than {max_rows} rows: write it as parquet")
+    cols = [c for c in df.columns if c != index]
+    key = F.col(index).cast("string")
+    frame = df.agg(*[F.map_from_entries(F.collect_list(F.struct(key, c))).alias(c) for c in cols])
+    frame.select(F.to_json(F.struct(*cols)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def read_frame_json(spark: SparkSession, path: str) -> DataFrame:
     """A pandas ``to_json`` file ``{column: {index: value}}`` back to
     rows (values as JSON text), one row per index."""

@@ -31,13 +31,14 @@ def measures_stream(notes: DataFrame, text: str = "note_text", key: str = "note_
 
 
 def start(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str, trigger_seconds: int = 30):
-    """Watch ``source_dir`` for parquet notes; append extracted rows to
-    ``sink_dir`` (parquet, partitioned by kind)."""
+    """Watch ``source_dir`` for parquet notes; write extracted rows to
+    ``sink_dir`` (parquet, partitioned by batch and kind).  A batch that is
+    replayed after a failure replaces its own folder."""
     notes = spark.readStream.schema(NOTE_STREAM_SCHEMA).parquet(source_dir)
     out = measures_stream(notes)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("kind").parquet(sink_dir)
+        batch.write.mode("overwrite").partitionBy("kind").parquet(f"{sink_dir}/batch_id={batch_id}")
 
     return (out.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(processingTime=f"{trigger_seconds} seconds").start())
