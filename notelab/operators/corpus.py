@@ -49,6 +49,19 @@ def sample_n(df: DataFrame, strata: Sequence[str], id_col: str, n: int, seed=42)
     return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_h", "_r")
 
 
+def sort_rows(df: DataFrame, keys: Sequence[tuple[str, bool]]) -> DataFrame:
+    """Total order by (column, ascending) keys: range partitions by
+    sampled bounds, each sorted on its own."""
+    return df.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in keys])
+
+
+def top1(df: DataFrame, group: Sequence[str], rank: Column, carry: Sequence[str]) -> DataFrame:
+    """Per group the row with the least ``rank``; an aggregate, so only
+    one row a group and task is shuffled."""
+    best = df.groupBy(*group).agg(F.min_by(F.struct(*carry), rank).alias("_b"))
+    return best.select(*group, *[F.col("_b")[c].alias(c) for c in carry])
+
+
 def positional_split(df: DataFrame, id_col: str, seed=42, train: float = 0.8, test: float = 0.1) -> DataFrame:
     """The first 80 % of the rows for training, the next 10 % for test,
     the last 10 % for validation, by exact position in the seeded order.

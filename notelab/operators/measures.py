@@ -272,6 +272,13 @@ def unitless_measures(text: Column, with_unit: Column) -> Column:
     return merge_unitless(with_unit, unitless_candidates(text), keep_with_unit=False)
 
 
+def measures_per_mention(rows: DataFrame, ids: Sequence[str], measure: str) -> DataFrame:
+    """The measures of each mention, as texts in order of their offsets."""
+    m = F.col(measure)
+    item = F.struct(m["start"].alias("start"), m["end"].alias("end"), format_measure(m).alias("text"))
+    return rows.groupBy(*ids).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["text"]).alias("found"))
+
+
 def all_measures(text: Column) -> Column:
     """D03 + D05 + D04, ordered by offset."""
     numeric = merge_unitless(extract_measures(text), unitless_candidates(text))

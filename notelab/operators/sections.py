@@ -77,6 +77,41 @@ def word_mentions(notes: DataFrame, note: str, text: str, min_len: int = 9) -> D
                                                                        code_of(F.col("term"), 1)))))
 
 
+def tag_mentions(notes: DataFrame, terminology: DataFrame, note: Sequence[str], text: str, term: str = "term",
+                 code: str = "code", max_words: int = 5) -> DataFrame:
+    """D01 as a gazetteer: runs of up to ``max_words`` words of the lower-cased,
+    accent-folded text that equal a folded term, longest first where they
+    overlap: ``note…, s, e, term, code`` (the least code of a term).
+
+    Every run is a row of an equi-join with the terminology; nothing is
+    broadcast but what AQE measures as small.  Trained taggers plug in with
+    :func:`tag_with`."""
+    from notelab.operators.corpus import resolve_overlaps
+    key = F.struct(*note)
+    words = notes.select(key.alias("_note"), ms.find_all(ms.normalize_for_matching(F.col(text)), "[a-z0-9]+").alias("_w"))
+    runs = words.select("_note", F.posexplode("_w").alias("_i", "_x"), "_w").select(
+        "_note", F.col("_x")["start"].alias("s"), F.explode(F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("_w") - F.col("_i"))),
+            lambda n: F.slice("_w", F.col("_i") + 1, n))).alias("_run"))
+    last = F.element_at("_run", -1)
+    runs = runs.select("_note", "s", (last["start"] + F.length(last["m"])).alias("e"),
+                       F.array_join(F.transform("_run", lambda x: x["m"]), " ").alias("_folded"))
+    folded = F.array_join(F.regexp_extract_all(ms.normalize_for_matching(F.col(term)), F.lit("[a-z0-9]+"), F.lit(0)), " ")
+    terms = terminology.groupBy(folded.alias("_folded")).agg(F.min(term).alias("term"), F.min(code).alias("code"))
+    found = runs.join(terms.where(F.col("_folded") != ""), "_folded")
+    found = found.select("_note", "s", "e", "term", "code", F.col("s").alias("k"))
+    # runs that begin at one word differ in length: the pair is their id
+    kept = resolve_overlaps(found.withColumn("k", F.struct("s", "e")), note="_note", mid="k")
+    return kept.select("_note.*", "s", "e", "term", "code")
+
+
+def tag_with(notes: DataFrame, tagger, schema: str) -> DataFrame:
+    """Any tagger as a function from an iterator of pandas batches of
+    notes to batches of spans (``mapInPandas``); ``schema`` names the span
+    groups and extensions it returns."""
+    return notes.mapInPandas(tagger, schema)
+
+
 def dictionary_lookup(mentions: DataFrame, kb: DataFrame, mention_id: Sequence[str]) -> DataFrame:
     """The (disease, analyte) pairs a mention's codes point to; a
     mention counts once per analyte however many of its codes match."""
