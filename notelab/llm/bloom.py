@@ -65,11 +65,12 @@ class Members:
     """A filter of a DataFrame's values, broadcast.  ``may_have`` is true for
     every member and, while the bound allows, for few others."""
 
-    def __init__(self, values: DataFrame, count: int, filter_bytes: int = 32 << 20) -> None:
-        """values: one column of distinct longs."""
+    def __init__(self, values: DataFrame, count: int, filter_bytes: int = 32 << 20, hashed: bool = False) -> None:
+        """values: one column of distinct longs; hashed: they are hashes already,
+        and ``may_have`` takes them as they are."""
         self.segments, self.bits = segments_for(count, filter_bytes)
-        hashed = values.select(F.xxhash64(F.lit(11), values.columns[0]).alias("h"))
-        blocks = hashed.repartition(F.pmod("h", F.lit(self.segments))).mapInArrow(
+        h = F.col(values.columns[0]) if hashed else Members.hash(values.columns[0])
+        blocks = values.select(h.alias("h")).repartition(F.pmod("h", F.lit(self.segments))).mapInArrow(
             _build(self.segments, self.bits), "segment long, bits binary")
         self.sent: Broadcast = values.sparkSession.sparkContext.broadcast(
             {r.segment: bytes(r.bits) for r in blocks.toLocalIterator()})

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from notelab.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, secret_scan, sharding, toxicity, url_filter
+from notelab.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, toxicity, url_filter
 from notelab.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(table(spark, sf_dir, "documents"))
 
 
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.dedup_passages(docs, spans="spans")
+    total = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["words"])
+    return out.select(
+        "doc_id", total.alias("n_dropped_words"), F.size("spans").cast("long").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("spans"),
+        "text")
+
+
 URL_RULES = [url_filter.rule(*x) for x in (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))]
 
 

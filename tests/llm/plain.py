@@ -106,3 +106,48 @@ def secrets(t):
 
 def crc(t):
     return zlib.crc32((t or "").encode())
+
+
+def gear_chunks(text):
+    """(first byte, end, words) of the chunks of a text, byte by byte."""
+    from notelab.llm import substring_dedup as sd
+
+    raw, h, hashes = (text or "").encode(), 0, []
+    for i, b in enumerate(raw):
+        h = sum(int(sd.GEAR[raw[i - j]]) << j for j in range(min(sd.WINDOW, i + 1))) & 0xFFFFFFFF
+        hashes.append(h)
+    spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    zero = [(hashes[e - 1] >> (sd.WINDOW - sd.CUT_BITS)) % (1 << sd.CUT_BITS) == 0 for _, e in spans]
+    cut = [z and not any(zero[max(0, i - sd.MIN_WORDS + 1): i]) for i, z in enumerate(zero)]
+    out, begin = [], 0
+    for i, c in enumerate(cut):
+        if c or i == len(cut) - 1 or i - begin == sd.MAX_WORDS - 1:
+            out.append((spans[begin][0], spans[i][1], i - begin + 1))
+            begin = i + 1
+    return out
+
+
+def without_passages(docs, min_words=16):
+    """Text and dropped words per document."""
+    chunks = {d: gear_chunks(t) for d, t in docs}
+    raw = {d: (t or "").encode() for d, t in docs}
+    first = {}
+    for d in sorted(chunks):
+        for i, (s, e, _) in enumerate(chunks[d]):
+            first.setdefault(raw[d][s:e], (d, i))
+    out = {}
+    for d, t in docs:
+        later = [first[raw[d][s:e]] != (d, i) for i, (s, e, _) in enumerate(chunks[d])]
+        keep, dropped, i = bytearray(b"\x01" * len(raw[d])), 0, 0
+        while i < len(later):
+            j = i
+            while j < len(later) and later[j]:
+                j += 1
+            words_ = sum(n for _, _, n in chunks[d][i:j])
+            if words_ >= min_words:
+                s, e = chunks[d][i][0], chunks[d][j][0] if j < len(chunks[d]) else chunks[d][j - 1][1]
+                keep[s:e] = bytes(e - s)
+                dropped += words_
+            i = max(j, i + 1)
+        out[d] = (dropped, bytes(b for b, k in zip(raw[d], keep, strict=True) if k).decode())
+    return out

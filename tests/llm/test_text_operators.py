@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from notelab.llm import bytewords as bw
-from notelab.llm import decontaminate, line_dedup, quality_rules, secret_scan
+from notelab.llm import decontaminate, line_dedup, quality_rules, secret_scan, substring_dedup
 
 import plain
 
@@ -158,3 +158,57 @@ def test_trigram_index_is_a_filter_only(spark):
     out, spans = secret_scan.find_secrets(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
     assert {r.doc_id: [tuple(x) for x in r[spans]] for r in out.collect()} == {i: plain.secrets(t) for i, t in enumerate(texts)}
     assert np.unique([len(plain.secrets(t)) for t in texts]).tolist() == [0, 1, 2]
+
+
+def passages():
+    """Texts that share passages of 51 to 80 words at other places, texts with
+    insertions, and clean ones."""
+    rng = random.Random(11)
+    word = lambda: f"{rng.choice('abcdefgéß')}{rng.randrange(10_000)}"
+    shared = [[word() for _ in range(n)] for n in (51, 60, 80)]
+    docs = [[word() for _ in range(rng.randrange(30, 120))] for _ in range(20)]  # clean
+    for i in range(24):
+        text = [word() for _ in range(rng.randrange(5, 80))]
+        at = rng.randrange(len(text))
+        docs.append(text[:at] + shared[i % 3] + text[at:])
+    edited = list(docs[30])
+    edited.insert(len(edited) // 2, "inserted")
+    docs.append(edited)
+    return [(i, " ".join(x)) for i, x in enumerate(docs)]
+
+
+def test_gear_hash_and_chunks():
+    texts = [t for _, t in rows()[:60]] + [t for _, t in passages()[:10]]
+    for limit in (1, 5000):
+        for slab in bw.slabs(pa.array(texts), limit):
+            s, e, n, first = substring_dedup.chunk_spans(slab)
+            for i in range(slab.n):
+                own = slice(first[i], first[i + 1])
+                begin = slab.offsets[i]
+                got = list(zip((s[own] - begin).tolist(), (e[own] - begin).tolist(), n[own].tolist(), strict=True))
+                assert got == plain.gear_chunks(texts[slab.first + i])
+
+
+@pytest.mark.parametrize("filter_bytes", [64 << 20, 1])
+def test_substring_dedup(spark, filter_bytes):
+    data = passages() + [(1000 + i, t) for i, t in rows()[:70]]
+    table = spark.createDataFrame(data, "doc_id long, text string").withColumn("later", F.lit("clash")).withColumn("h", F.lit(1))
+    out = substring_dedup.dedup_passages(table.repartition(3), spans="cut", filter_bytes=filter_bytes)
+    assert out.columns == [*table.columns, "cut"]
+    out = {r.doc_id: r for r in out.collect()}
+    expected = plain.without_passages(data)
+    assert {d: (sum(x.words for x in r.cut), r.text or "") for d, r in out.items()} == expected
+    texts = dict(data)
+    for i in range(20):
+        assert out[i].text == texts[i]  # clean texts stay
+    for i in range(23, 44):
+        assert expected[i][0] >= 19  # a repeated passage of 51 words or more is caught
+    assert len(out[44].text.split()) <= 40  # all but the surroundings of the insertion
+
+
+def test_substring_dedup_empty_and_null_ids(spark, empty):
+    assert substring_dedup.dedup_passages(empty).count() == 0
+    text = " ".join(f"w{i}" for i in range(100))
+    table = spark.createDataFrame([(None, text), (1, text), (2, None), (3, "")], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in substring_dedup.dedup_passages(table).collect()}
+    assert out[None] == text and out[1] == "" and out[2] is None and out[3] == ""
