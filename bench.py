@@ -31,6 +31,13 @@ HEADLINE = [
     "J14_nearest_concept",
     "J16_best_string_match",
     "X01_normalize_term_notes",
+    "D15_drug_codes",
+    "D18_resolve_overlaps",
+    "D19_chunk_notes",
+    "J15_nearest_in_block",
+    "D09_normalize_terms",
+    "E07_bootstrap_multinomial",
+    "O07_balanced_split",
 ]
 
 

@@ -70,29 +70,30 @@ def normalize_for_matching(c: Column) -> Column:
     return tx.fold_ascii_length_preserving(F.lower(c))
 
 
-# Private-use characters: MARK delimits matches; any MARK already in a text
-# is first mapped to MARK_SUB (one-to-one, so offsets do not move).
-MARK, MARK_SUB = "\ue000", "\ue001"
+# Private-use characters: MARK delimits matches and SEP their groups; any of
+# them already in a text is first mapped to MARK_SUB (one-to-one, so offsets do
+# not move).
+MARK, MARK_SUB, SEP = "\ue000", "\ue001", "\ue002"
 
 
 def find_all(text: Column, pattern: str, groups: Sequence[int] = ()) -> Column:
     """All matches of ``pattern`` in ``text`` as an array of
     ``struct(start, m, g1, g2, …)`` (0-based start, match text, groups).
 
-    One regex pass: ``regexp_replace`` wraps every match in MARK, a
-    single-character ``split`` (no regex) cuts the text into alternating
-    gaps and matches, and one fold turns their lengths into offsets.  Groups
-    are read from each short match with the anchored pattern, which gives
-    the same groups because the pattern's boundaries hold at the ends of a
-    match.  The lambdas only touch their own arguments, so nothing is
-    re-evaluated per element."""
-    marked = F.regexp_replace(F.translate(text, MARK, MARK_SUB), pattern, MARK + "$0" + MARK)
+    One regex pass: ``regexp_replace`` wraps every match, followed by its
+    groups, in MARK; a single-character ``split`` (no regex) cuts the text into
+    alternating gaps and matches, one fold turns their lengths into offsets, and
+    another split of each match gives the groups.  The lambdas only touch their
+    own arguments, so nothing is re-evaluated per element."""
+    inner = "$0" + "".join(f"{SEP}${g}" for g in groups)
+    marked = F.regexp_replace(F.translate(text, MARK + SEP, MARK_SUB * 2), pattern, MARK + inner + MARK)
     parts = F.split(marked, MARK, -1)
 
     def step(acc: Column, x: Column) -> Column:
         item = F.struct(acc["pos"].alias("start"), x.alias("m"))
         out = F.when(acc["i"] % 2 == 1, F.concat(acc["out"], F.array(item))).otherwise(acc["out"])
-        return F.struct((acc["i"] + 1).alias("i"), (acc["pos"] + F.length(x)).cast("int").alias("pos"),
+        own = F.substring_index(x, SEP, 1) if groups else x
+        return F.struct((acc["i"] + 1).alias("i"), (acc["pos"] + F.length(own)).cast("int").alias("pos"),
                         out.alias("out"))
 
     init = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"),
@@ -100,10 +101,9 @@ def find_all(text: Column, pattern: str, groups: Sequence[int] = ()) -> Column:
     found = F.aggregate(parts, init, step, lambda acc: acc["out"])
     if not groups:
         return found
-    anchored = "^(?:" + pattern + ")"
+    found = F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.split(x["m"], SEP, -1).alias("p")))
     return F.transform(found, lambda x: F.struct(
-        x["start"].alias("start"), x["m"].alias("m"),
-        *[F.regexp_extract(x["m"], anchored, g).alias(f"g{g}") for g in groups]))
+        x["start"].alias("start"), x["p"][0].alias("m"), *[x["p"][i + 1].alias(f"g{g}") for i, g in enumerate(groups)]))
 
 
 def _unit_of(term: Column, table: dict[str, str]) -> Column:
