@@ -124,10 +124,3 @@ def convert_unit(value: Column, from_unit: Column, to_unit: Column) -> Column:
     dimensions differ."""
     same = unit_dim(from_unit) == unit_dim(to_unit)
     return F.when(same, value * unit_scale(from_unit) / unit_scale(to_unit))
-
-
-def unit_tables_sql(units: tuple[Unit, ...] = UNITS) -> tuple[str, str]:
-    """(dims, scales) as DuckDB MAP literals for oracles."""
-    dims = "MAP {" + ", ".join(f"'{u.name}': '{u.dim}'" for u in units) + "}"
-    scales = "MAP {" + ", ".join(f"'{u.name}': {float(u.scale)!r}::double" for u in units) + "}"
-    return dims, scales

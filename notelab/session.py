@@ -47,12 +47,6 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
-def apply_scale_conf(spark: SparkSession) -> SparkSession:
-    for k, v in SCALE_CONF.items():
-        spark.conf.set(k, v)
-    return spark
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the cluster's
     ``spark.checkpoint.dir``.  Only a local session, whose executors share the
@@ -78,12 +72,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     loss of executors, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def plan_size_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df`` (no job is run)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return 1 << 62
