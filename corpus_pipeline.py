@@ -29,8 +29,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
-    return jaccard_join.keep_one(docs)
+    """Keep one document of each group of near copies: shingles of five words,
+    similarity 0.8 or more (op2 has values of its own)."""
+    return jaccard_join.keep_one(docs, k=5, percent=80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,15 @@
 """Operators whose results must not depend on the size of the table."""
 
+import collections
 import random
 
 import numpy as np
+
+import corpus_pipeline
 from notelab.llm import toxicity
 
+import plain
+
 
 def toxic_corpus():
     """Rare toxic words, each in a few documents, among frequent neutral ones."""
@@ -39,3 +44,27 @@ def test_toxicity_counts_of_both_classes(spark):
     assert total == [60, 63]
     out = {(r.kind, r.ordinary, r.toxic, r.ordinary_docs, r.toxic_docs) for r in known.filter(f"kind = {toxicity.WORD}").collect()}
     assert out == {(toxicity.WORD, 20, 20, 20, 20), (toxicity.WORD, 0, 23, 0, 21)}
+
+
+def test_pipeline_drops_near_copies_between_the_thresholds(spark):
+    rng = random.Random(31)
+    word = lambda: f"u{rng.randrange(100_000)}"
+    docs = []
+    for i in range(12):
+        text = [word() for _ in range(100)]
+        docs.append((2 * i, " ".join(text)))
+        for at in (30, 70)[: 2 if i < 8 else 1]:
+            text[at] = "changed"
+        docs.append((2 * i + 1, " ".join(text)))
+    far = [word() for _ in range(100)]  # 5 changes: 71/121 < 0.8
+    docs += [(100, " ".join(far)), (101, " ".join("changed" if k % 20 == 10 else w for k, w in enumerate(far)))]
+    strict, groups = plain.similarity_components(docs), collections.defaultdict(set)
+    sets = {d: plain.shingles(t, 5) for d, t in docs}
+    for a in sets:
+        for b in sets:
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                groups[a].add(b)
+    expected = {min(g) for g in groups.values()}  # pairs only: no chains
+    assert len({c for _, c in strict.values()}) == len(expected) + 8
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table, "").collect()} == expected
