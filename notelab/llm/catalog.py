@@ -39,7 +39,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_substring_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = substring_dedup.dedup_passages(docs, spans="spans")
+    out = substring_dedup.dedup_passages(docs, spans="spans", local=True)
     total = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["words"])
     return out.select(
         "doc_id", total.alias("n_dropped_words"), F.size("spans").cast("long").alias("n_spans"),

@@ -4,9 +4,12 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
-from notelab.llm import toxicity
+from notelab.llm import bytewords as bw
+from notelab.llm import substring_dedup, toxicity
+from notelab.llm.catalog import QUERIES
 
 import plain
 
@@ -68,3 +71,49 @@ def test_pipeline_drops_near_copies_between_the_thresholds(spark):
     assert len({c for _, c in strict.values()}) == len(expected) + 8
     table = spark.createDataFrame(docs, "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table, "").collect()} == expected
+
+
+def placed_passages(n=400, words=51):
+    rng = random.Random(51)
+    word = lambda: rng.choice("abcdefghijklmnopq") * rng.randrange(1, 4) + str(rng.randrange(2000))
+    out = []
+    for _ in range(n):
+        passage = [word() for _ in range(words)]
+        out.append([" ".join([word() for _ in range(rng.randrange(60))] + passage + [word() for _ in range(rng.randrange(60))]) for _ in range(2)])
+    return out
+
+
+def test_local_cuts_share_chunks_of_every_passage(spark):
+    for a, b in placed_passages():
+        chunks = []
+        for slab in bw.slabs(pa.array([a, b])):
+            s, e, n, first = substring_dedup.chunk_spans(slab, local=True)
+            assert n.max() <= substring_dedup.MAX_WORDS and n.sum() == len(a.split()) + len(b.split())
+            chunks += [[(slab.data[s[k]: e[k]].tobytes(), int(n[k])) for k in range(first[i], first[i + 1])] for i in range(slab.n)]
+        known = {c for c, _ in chunks[0]}
+        run = best = 0
+        for c, n in chunks[1]:
+            run = run + n if c in known else 0
+            best = max(best, run)
+        assert best >= 51 - 2 * substring_dedup.MAX_WORDS + 1
+
+
+def test_local_cuts_equal_plain_windows():
+    rng = random.Random(7)
+    texts = ["", "one", "the " * 40, " ".join(rng.choice("abc") for _ in range(200))] + [x for p in placed_passages(5) for x in p]
+    for slab in bw.slabs(pa.array(texts), 3000):
+        s, e, n, first = substring_dedup.chunk_spans(slab, local=True)
+        for i in range(slab.n):
+            words, cuts = [w.encode() for w in plain.words(texts[slab.first + i])], set()
+            h = [sum(int(substring_dedup.GEAR[b]) << j for j, b in enumerate(w[::-1][:16])) & 0xFFFFFFFF for w in words]
+            for k in range(len(words) - 15):
+                cuts.add(min(range(k, k + 16), key=lambda j: (h[j], -j)))
+            cuts |= {len(words) - 1} if words else set()
+            assert n[first[i]: first[i + 1]].cumsum().tolist() == [c + 1 for c in sorted(cuts)]
+
+
+def test_op3_finds_every_placed_passage(spark, tmp_path):
+    docs = [(i, t) for i, t in enumerate(x for p in placed_passages() for x in p)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r.n_dropped_words for r in QUERIES["op3_substring_dedup"](spark, str(tmp_path)).collect()}
+    assert all(out[i] >= 20 if i % 2 else out[i] == 0 for i in out) and len(out) == len(docs)
