@@ -63,10 +63,10 @@ def _fits(r: UrlRule, host: Column, path: Column) -> Column:
 
 
 def longest_rule(rules: list[UrlRule], host: Column, path: Column) -> tuple[Column, Column]:
-    """Name and action of the longest rule that fits; of rules with the same
-    host and path, allow goes first."""
+    """Name and action of the longest rule that fits; of rules of the same
+    length, allow goes first."""
     name, action = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for r in sorted(rules, key=lambda r: (len(r.name), r.action != "allow", r.name), reverse=False):
+    for r in sorted(rules, key=lambda r: (len(r.name), r.action == "allow", r.name)):  # the last wins
         fits = _fits(r, host, path)
         name, action = F.when(fits, F.lit(r.name)).otherwise(name), F.when(fits, F.lit(r.action)).otherwise(action)
     return name, action
@@ -85,8 +85,19 @@ def node(url: Column) -> Column:
     return F.unhex(F.md5(url))
 
 
+def without_dots(target: Column) -> Column:
+    """A path (and query) from the root with its ``.`` and ``..`` resolved."""
+    path, rest = F.regexp_extract(target, r"^[^?#]*", 0), F.regexp_extract(target, r"^[^?#]*(.*)", 1)
+    parts = F.split(F.regexp_replace(path, r"/(\.\.?)$", "/$1/"), "/")
+    kept = F.aggregate(F.slice(parts, 2, 1 << 20), F.array().cast("array<string>"), lambda own, x: (
+        F.when(x == "..", F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0)))).when(x == ".", own)
+        .otherwise(F.concat(own, F.array(x)))))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), rest)
+
+
 def _targets(url: Column, html: Column) -> Column:
-    """Absolute canonical and refresh targets of a page."""
+    """Absolute canonical and refresh targets of a page; relative ones are
+    resolved against its url."""
     def attribute(tag: Column, name: str) -> Column:
         return F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']?([^"'\s>]+)""", 1)
 
@@ -98,10 +109,18 @@ def _targets(url: Column, html: Column) -> Column:
         F.when(F.contains(F.lower(html), F.lit("refresh")), F.transform(metas, lambda t: attribute(t, "url")))
         .otherwise(F.array().cast("array<string>")))
     scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
+    site, path = F.concat(scheme, F.lit("://"), host_of(url)), path_of(url)
+    page = F.when(path == "", F.lit("/")).otherwise(path)
+    folder = F.regexp_replace(page, r"[^/]*$", "")
+    query = F.regexp_extract(url, r"^[^#?]*(\?[^#]*)", 1)
 
     def absolute(x: Column) -> Column:
-        return (F.when(x.contains("://"), x).when(x.startswith("//"), F.concat(scheme, F.lit(":"), x))
-                .when(x.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), x)))
+        return (F.when(x.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), x).when(x.startswith("//"), F.concat(scheme, F.lit(":"), x))
+                .when(x.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))  # mailto: and the like
+                .when(x.startswith("/"), F.concat(site, without_dots(x)))
+                .when(x.startswith("?"), F.concat(site, page, x))
+                .when(x.startswith("#"), F.concat(site, page, query, x))
+                .when(x != "", F.concat(site, without_dots(F.concat(folder, x)))))
 
     return F.filter(F.transform(found, absolute), lambda x: x.isNotNull())
 

@@ -5,10 +5,11 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from notelab.llm import bytewords as bw
-from notelab.llm import substring_dedup, toxicity
+from notelab.llm import substring_dedup, toxicity, url_filter
 from notelab.llm.catalog import QUERIES
 
 import plain
@@ -117,3 +118,22 @@ def test_op3_finds_every_placed_passage(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     out = {r.doc_id: r.n_dropped_words for r in QUERIES["op3_substring_dedup"](spark, str(tmp_path)).collect()}
     assert all(out[i] >= 20 if i % 2 else out[i] == 0 for i in out) and len(out) == len(docs)
+
+
+def test_relative_targets_and_ties(spark):
+    link, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    pages = [(1, "http://a.b/c/d?x=1", link.format("page.html")), (2, "http://a.b/c/d/", link.format("../x/./y")),
+             (3, "http://a.b/c/d?x=1#f", link.format("?id=1")), (4, "http://a.b", link.format("p?u=../q")),
+             (5, "http://a.b/c/d", link.format("../../../e/..")), (6, "http://a.b/c", link.format("mailto:x@y")),
+             (7, "http://a.b/c/d", refresh.format("e/")), (8, "http://a.b/c", link.format("http://z.y/../k"))]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    out = {r.page_id: r.t for r in table.select("page_id", url_filter._targets(F.col("url"), F.col("html")).alias("t")).collect()}
+    assert out == {1: ["http://a.b/c/page.html"], 2: ["http://a.b/c/x/y"], 3: ["http://a.b/c/d?id=1"], 4: ["http://a.b/p?u=../q"],
+                   5: ["http://a.b/"], 6: [], 7: ["http://a.b/c/e/"], 8: ["http://z.y/../k"]}
+    for order in (1, -1):
+        rules = [url_filter.rule("allow", "x.com/a"), url_filter.rule("block", "x.com/a")][::order]
+        table = spark.createDataFrame([(1, "https://x.com/a")], "page_id long, url string")
+        assert url_filter.judge(table, rules, html_col=None).first().verdict == "allow"
+    table = spark.createDataFrame([(1, "https://k.info/f/a", link.format("../bad/1")), (2, "https://k.info/g/", None)], "page_id long, url string, html string")
+    out = url_filter.judge(table, [url_filter.rule("block", "k.info/bad/")]).collect()
+    assert {r.page_id: r.verdict for r in out} == {1: "block", 2: "allow"}
