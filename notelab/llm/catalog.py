@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from notelab.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, toxicity, url_filter
+from notelab.llm import (
+    decontaminate, jaccard_join, line_dedup, merkle, packing, quality_rules, ranked_search, secret_scan, sharding, simhash,
+    substring_dedup, toxicity, url_filter,
+)
 from notelab.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +128,104 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.filter(s, lambda y: y["kind"].isin(base))), 256).alias("base_sha256"), joined(s).alias("spans"))
 
 
+OP11_SQL = r"""
+with low as (
+  select doc_id, row_number() over () r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+d as (select doc_id, r, len(w) n, unnest(w) t from low where len(w) > 0),
+total as (select count(distinct r) as big_n, count(*) as big_l from d),
+tf as (select doc_id, r, n, t, count(*) tf from d group by all),
+q as (
+  select i, item_id, t, count(*) repeats from (
+    select row_number() over () i, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) t
+    from benchmark) group by all),
+w as (
+  select t, cast(floor(1000 * ln((2 * big_n + 2)::double / (2 * count(*) + 1)::double)) as bigint) w
+  from tf, total group by t, big_n),
+s as (
+  select i, item_id, doc_id, r,
+         sum(repeats * w.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)))) score
+  from q join tf on tf.t = q.t join w on w.t = q.t, total group by all),
+o as (
+  select *, row_number() over (partition by i order by score desc, doc_id nulls last) as pos from s where score > 0)
+select item_id, cast(pos as int) as rank, doc_id, cast(score as bigint) score from o where pos <= 10
+"""
+
+
+@query("op11_ranked_search", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def merkle_sql(levels: int = 8) -> str:
+    """Manifest in plain SQL, for groups of at most 8 ** levels rows and as many
+    groups."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen(cast({c} as varchar))::varchar || ':' || cast({c} as varchar), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def tree(name: str, base: str) -> str:
+        """Nodes of every level (name0, ...) and their siblings (name_s0, ...)."""
+        out = f"{name}0 as materialized ({base})"
+        for k in range(levels):
+            out += f""",
+{name}_s{k} as materialized (
+  select g, i, n > 1 as live, coalesce(string_agg(h, '') over (w rows between unbounded preceding and 1 preceding), '') l,
+         coalesce(string_agg(h, '') over (w rows between 1 following and unbounded following), '') r
+  from {name}{k} window w as (partition by g, i // 8 order by i)),
+{name}{k + 1} as materialized (
+  select g, i // 8 i, (any_value(n) + 7) // 8 n, case when any_value(n) > 1 then sha256(string_agg(h, '' order by i)) else any_value(h) end h
+  from {name}{k} group by g, i // 8)"""
+        return out
+
+    def walk(name: str, base: str, at: str) -> str:
+        """The fold and the proof, a level a step."""
+        out = f"{name}f0 as materialized ({base})"
+        for k in range(levels):
+            out += f""",
+{name}f{k + 1} as materialized (
+  select x.* replace (case when s.live then sha256(s.l || x.f || s.r) else x.f end as f, x.proof || coalesce(s.l || s.r, '') as proof)
+  from {name}f{k} x left join {name}_s{k} s on s.live and s.g = x.{at}g and s.i = x.{at}i // {8 ** k})"""
+        return out
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+with crc_table as materialized (
+  select list(v order by b) t from (
+    select b, list_reduce([b::ubigint] || [0::ubigint, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+      case when c & 1 = 1 then xor(3988292384::ubigint, c >> 1) else c >> 1 end) v from range(256) x(b))),
+rows0 as (
+  select doc_id, case when lang is null then '' else '=' || lang end g, {leaf('text')} leaf, {leaf(low)} low,
+         [ord(c)::ubigint for c in string_split(cast(doc_id as varchar), '')] chars from documents),
+rows1 as materialized (
+  select doc_id, g, leaf, case when xor(4294967295::ubigint, list_reduce([4294967295::ubigint] || chars, lambda c, z:
+      xor(t[cast(xor(c, z) & 255 as int) + 1], c >> 8))) % 3 = 0 then low else leaf end claimed from rows0, crc_table),
+x as materialized (
+  select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 i, count(*) over (partition by g) n from rows1),
+{tree('a', 'select g, i, n, leaf h from x')},
+y as materialized (select g, h, row_number() over (order by g) - 1 i, count(*) over () n from a{levels}),
+{tree('b', 'select 0 g, i, n, h from y')},
+{walk('a', "select doc_id, g, i, leaf, claimed f, '' proof from x", '')},
+{walk('b', f'select af.*, y.h subroot, 0 yg, y.i yi from af{levels} af join y on y.g = af.g', 'y')}
+select doc_id, leaf, subroot, b.h as root, sha256(proof) proof_sha256, f folded_root, f = b.h verified from bf{levels}, b{levels} b
+"""
+
+
+@query("op12_merkle_manifest", merkle_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.manifest(table(spark, sf_dir, "documents"), check=merkle.lowered_leaf())
+    return out.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                      F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
