@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from notelab.functions.numbers import literal_map
+
 
 @dataclass(frozen=True)
 class Unit:
@@ -94,16 +96,9 @@ def term_table(units: tuple[Unit, ...] = UNITS, with_x: bool = False) -> dict[st
     return out
 
 
-def _lit_map(d: dict) -> Column:
-    items = []
-    for k, v in d.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.create_map(*items)
-
-
 def unit_dim(unit: Column, units: tuple[Unit, ...] = UNITS) -> Column:
     """Dimension of a unit name, composite ``a_per_b`` included."""
-    dims = _lit_map({u.name: u.dim for u in units})
+    dims = literal_map({u.name: u.dim for u in units})
     parts = F.split(unit, "_per_")
     simple = F.element_at(dims, unit)
     comp = F.concat(F.element_at(dims, parts[0]), F.lit("_per_"), F.element_at(dims, parts[1]))
@@ -112,7 +107,7 @@ def unit_dim(unit: Column, units: tuple[Unit, ...] = UNITS) -> Column:
 
 
 def unit_scale(unit: Column, units: tuple[Unit, ...] = UNITS) -> Column:
-    scales = _lit_map({u.name: float(u.scale) for u in units})
+    scales = literal_map({u.name: float(u.scale) for u in units})
     parts = F.split(unit, "_per_")
     comp = F.element_at(scales, parts[0]) / F.element_at(scales, parts[1])
     return (F.when(unit == "bool", F.lit(1.0))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from notelab.functions import text as tx
 from notelab.functions import units as un
+from notelab.functions.numbers import literal_map
 from notelab.functions.text import remove_variants
 
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
@@ -106,11 +107,25 @@ def find_all(text: Column, pattern: str, groups: Sequence[int] = ()) -> Column:
         x["start"].alias("start"), x["p"][0].alias("m"), *[x["p"][i + 1].alias(f"g{g}") for i, g in enumerate(groups)]))
 
 
+def find_all_sql(text: str, pattern: str, groups: Sequence[int] = ()) -> str:
+    """``find_all`` as SQL text over the expression ``text``."""
+    inner = "$0" + "".join(f"{SEP}${g}" for g in groups)
+    own = f"substring_index(x, '{SEP}', 1)" if groups else "x"
+    found = f"""aggregate(
+      split(regexp_replace(translate({text}, '{MARK}{SEP}', '{MARK_SUB * 2}'), r'{pattern}', '{MARK}{inner}{MARK}'), '{MARK}', -1),
+      named_struct('i', 0, 'pos', 0, 'out', cast(array() as array<struct<start: int, m: string>>)),
+      (acc, x) -> named_struct('i', acc.i + 1, 'pos', acc.pos + length({own}),
+        'out', if(acc.i % 2 = 1, concat(acc.out, array(named_struct('start', acc.pos, 'm', x))), acc.out)),
+      acc -> acc.out)"""
+    if not groups:
+        return found
+    named = ", ".join(f"'g{g}', x.p[{i + 1}]" for i, g in enumerate(groups))
+    return f"""transform(transform({found}, x -> named_struct('start', x.start, 'p', split(x.m, '{SEP}', -1))),
+      x -> named_struct('start', x.start, 'm', x.p[0], {named}))"""
+
+
 def _unit_of(term: Column, table: dict[str, str]) -> Column:
-    items = []
-    for k, v in table.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.element_at(F.create_map(*items), term)
+    return F.element_at(literal_map(table), term)
 
 
 def extract_measures(text: Column, table_mode: bool = False, units: Sequence[un.Unit] = ()) -> Column:

@@ -151,6 +151,65 @@ def d_rx(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         "l_orderkey", "l_linenumber", txt.alias("txt"))
 
 
+# How often a drug is taken, by the forms of the rules; {n} is the line number,
+# {m} the next one.  Of each form the items that a reader finds in it: kind, words,
+# then intakes per day, the same for the upper end, and the normalised form, in SQL
+# with n for the line number.
+INTAKE_FORMS = (
+    ("{n} fois par jour", [("count", "{n} fois par jour", "n", "null", "n || ' per_day'")]),
+    ("{n} à {m} fois par jour", [("count", "{n} à {m} fois par jour", "n", "n + 1", "n || '-' || n + 1 || ' per_day'")]),
+    ("deux fois par jour", [("count", "deux fois par jour", "2", "null", "'2 per_day'")]),
+    ("Tous les {n} jours", [("every", "Tous les {n} jours", "1.0::double / n", "null",
+                             "regexp_replace(cast(1.0::double / n as varchar), '\\.0$', '') || ' per_day'")]),
+    ("toutes les {m} heures", [("every", "toutes les {m} heures", "1.0::double / (n + 1) / (1 / 24::double)", "null",
+                                "regexp_replace(cast(1.0::double / (n + 1) as varchar), '\\.0$', '') || ' per_hour'")]),
+    ("{n} jours sur 7", [("share", "{n} jours sur 7", "n / 7::double", "null",
+                          "regexp_replace(cast(n / 7::double as varchar), '\\.0$', '') || ' per_day'")]),
+    ("par jour", [("each", "par jour", "1", "null", "'1 per_day'")]),
+    ("matin, midi et soir", [("time_of_day", "matin, midi et soir", "3", "null", "'3 per_day'")]),
+    ("1-0-{n}", [("time_of_day", "1-0-{n}", "n + 1", "null", "n + 1 || ' per_day'")]),
+    ("1 {n} 1", [("time_of_day", "1 {n} 1", "n + 2", "null", "n + 2 || ' per_day'")]),
+    ("1.{n}.0", [("time_of_day", "1.{n}.0", "n + 1", "null", "n + 1 || ' per_day'")]),
+    ("le lundi et le jeudi", [("day_of_week", "le lundi et le jeudi", "1 / 7::double + 1 / 7::double", "null", "'2 per_week'")]),
+    ("J{n}-J{m}", [("day_of_month", "J{n}-J{m}", "null", "null", "''")]),
+    ("quotidien", [("rate", "quotidien", "1", "null", "'1 per_day'")]),
+    ("{n} fois par semaine", [("count", "{n} fois par semaine", "n / 7::double", "null", "n || ' per_week'")]),
+    ("avant les repas", [("time_of_day", "avant les repas", "3", "null", "'3 per_day'")]),
+    ("4 fois par heure", []),
+    ("tous les jours pairs", [("each", "tous les jours pairs", "0.5", "null", "'1 per_two_days'")]),
+    ("{n} le matin et {m} le soir", [("count", "{n} le matin", "n", "null", "n || ' per_day'"),
+                                     ("count", "{m} le soir", "n + 1", "null", "n + 1 || ' per_day'")]),
+    ("{n} jours par semaine", [("rate", "{n} jours par semaine", "n / 7::double", "null", "n || ' per_week'")]),
+    ("vingt et un mensuels", [("rate", "vingt et un mensuels", "21 / 30.4167::double", "null", "'21 per_month'")]),
+    ("ce matin", []),
+)
+
+
+def _filled(template: str) -> Column:
+    n = F.col("n").cast("string")
+    return F.replace(F.replace(F.lit(template), F.lit("{n}"), n), F.lit("{m}"), (F.col("n") + 1).cast("string"))
+
+
+def d_intakes(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Prescription lines that name two drugs, each with a dose and a form of
+    ``INTAKE_FORMS``, and where the drugs stand."""
+    line = F.concat_ws("#", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    size = len(INTAKE_FORMS)
+    rows = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        line.alias("line"), F.col("l_linenumber").cast("int").alias("n"), F.col("l_quantity").cast("int").alias("q"),
+        F.col("p_name").alias("first"), F.lower("p_type").alias("second"),
+        *(((F.col("l_orderkey") * step + F.col("l_linenumber")) % size).cast("int").alias(f"form{i}") for i, step in ((1, 1), (2, 5))))
+    forms = [F.coalesce(*(F.when(F.col(f"form{i}") == k, _filled(x)) for k, (x, _) in enumerate(INTAKE_FORMS))) for i in (1, 2)]
+    rows = rows.withColumns({"words1": forms[0], "words2": forms[1]})
+    days = F.when(F.col("n") % 2 == 0, F.concat(F.lit(" pendant "), F.col("n").cast("string"), F.lit(" jours"))).otherwise("")
+    one = F.concat(F.lit("début "), "first", F.lit(" "), F.col("q").cast("string"), F.lit(" mg "), "words1", days, F.lit(" ; "))
+    two = F.concat("second", F.lit(" "), (F.col("q") + 1).cast("string"), F.lit(" comprimés "), "words2")
+    stop = F.when(F.col("q") % 3 == 0, "arrêt ").otherwise("")
+    rows = rows.withColumns({"one": F.concat(one, stop), "two": two})
+    return rows.select("line", "n", "q", "first", "second", "form1", "form2", "words1", "words2",
+                       F.concat("one", "two").alias("txt"), F.length("one").alias("second_start"))
+
+
 def d_terms(part: DataFrame) -> DataFrame:
     return part.where(F.col("p_partkey") % 2 == 0).select(
         F.col("p_size").alias("source"), F.col("p_partkey").alias("id"), F.col("p_name").alias("term"))
@@ -332,6 +391,23 @@ select l_orderkey, l_linenumber,
               case l_linenumber % 3 when 0 then 'mg' when 1 then 'g' else 'comprimes' end, ' ',
               cast(l_linenumber as varchar), ' fois par jour') txt
 from lineitem join part on l_partkey = p_partkey""",
+    "d_intakes": f"""
+select *, one || two txt, cast(length(one) as int) second_start from (
+  select *, 'début ' || first || ' ' || q || ' mg ' || words1 || case when n % 2 = 0 then ' pendant ' || n || ' jours' else '' end || ' ; '
+            || case when q % 3 = 0 then 'arrêt ' else '' end one,
+         second || ' ' || (q + 1) || ' comprimés ' || words2 two
+  from (
+    select r.*, replace(replace(f1.words, '{{n}}', cast(n as varchar)), '{{m}}', cast(n + 1 as varchar)) words1,
+           replace(replace(f2.words, '{{n}}', cast(n as varchar)), '{{m}}', cast(n + 1 as varchar)) words2
+    from (
+      select concat_ws('#', cast(l_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar), cast(l_suppkey as varchar)) line,
+             cast(l_linenumber as int) n, cast(l_quantity as int) q, p_name as first, lower(p_type) as second,
+             cast((l_orderkey + l_linenumber) % {len(INTAKE_FORMS)} as int) form1,
+             cast((l_orderkey * 5 + l_linenumber) % {len(INTAKE_FORMS)} as int) form2
+      from lineitem join part on l_partkey = p_partkey) r
+    join ({" union all ".join(f"select {k} form, '{x}' words" for k, (x, _) in enumerate(INTAKE_FORMS))}) f1 on f1.form = form1
+    join ({" union all ".join(f"select {k} form, '{x}' words" for k, (x, _) in enumerate(INTAKE_FORMS))}) f2 on f2.form = form2)
+)""",
     "d_terms": """
 select p_size source, p_partkey id, p_name term from part where p_partkey % 2 = 0""",
     "d_gold_terms": """
