@@ -105,11 +105,13 @@ def tag_mentions(notes: DataFrame, terminology: DataFrame, note: Sequence[str],
     return kept.select("_note.*", "s", "e", "term", "code")
 
 
-def tag_with(notes: DataFrame, tagger, schema: str) -> DataFrame:
-    """Any tagger as a function from an iterator of pandas batches of
-    notes to batches of spans (``mapInPandas``); ``schema`` names the span
-    groups and extensions it returns."""
-    return notes.mapInPandas(tagger, schema)
+def tag_with(notes: DataFrame, text: str, taggers: dict, groups: Sequence[str], extensions: Sequence[str] = (),
+             types: dict | None = None) -> DataFrame:
+    """Any tagger (a function from a note to spans with values) as a table
+    function joined laterally to the notes; one row a span of the chosen groups,
+    with the chosen extensions."""
+    from notelab.functions.table_functions import note_spans
+    return note_spans(notes, text, groups, extensions, taggers, types)
 
 
 def dictionary_lookup(mentions: DataFrame, kb: DataFrame, mention_id: Sequence[str]) -> DataFrame:

@@ -303,7 +303,7 @@ def u02(spark, sf_dir):
 
 
 @query("U03_sets_meet", W("""
-select p.source, p.k, list_has_any(p.codes, [split_part(g.annotation, '_', 1)]) hit
+select p.source, p.k, coalesce(list_position(p.codes, split_part(g.annotation, '_', 1)), 0) > 0 hit
 from d_pred p join d_gold g on p.source = g.source and p.k = g.k
 where g.annotation is not null""", "d_pred", "d_gold"))
 def u03(spark, sf_dir):

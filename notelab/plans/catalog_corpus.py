@@ -92,10 +92,27 @@ def d17(spark, sf_dir):
     return cp.clean_mentions(i)
 
 
-@query("D18_resolve_overlaps")
+# greedy in order of length: one mention a step, against those kept so far
+_D18_SQL = "with recursive " + W("""
+select source, own.k, own.s, own.e, own.label from greedy where own is not null""",
+                                 "d_mentions", extra="""
+ranked as materialized (
+  select source, s, e, {'k': k, 's': s, 'e': e, 'label': label} own,
+         row_number() over (partition by source order by e - s desc, s, e, k, label) r from d_mentions),
+greedy as (
+  select distinct source, cast(0 as bigint) r, cast([] as struct(s bigint, e bigint)[]) kept, if(r < 0, own, null) own
+  from ranked where r = 1
+  union all
+  select x.source, x.r, case when clash then kept else list_append(kept, {'s': x.s, 'e': x.e}) end, case when clash then null else x.own end
+  from (select y.*, g.kept, len(list_filter(g.kept, lambda z: least(z.e, y.e) > greatest(z.s, y.s))) > 0 clash
+        from greedy g join ranked y on y.source = g.source and y.r = g.r + 1) x)""")[len("with "):]
+
+
+@query("D18_resolve_overlaps", _D18_SQL)
 def d18(spark, sf_dir):
-    m = tb.d_mentions(tb.tables(spark, sf_dir).documents)
-    return cp.resolve_overlaps(m).select("source", "k", "s", "e", "label")
+    # a key and an inner mention may have the same number
+    m = tb.d_mentions(tb.tables(spark, sf_dir).documents).withColumn("mid", F.struct("k", "label"))
+    return cp.resolve_overlaps(m, mid="mid").select("source", "k", "s", "e", "label")
 
 
 @query("D19_chunk_notes")

@@ -22,14 +22,14 @@ def _crop_sql(labels: tuple[str, ...]) -> str:
     lab = ", ".join(f"'{x}'" for x in labels)
     return f"""
 pairs as ({_PAIRS_CLOSED}),
-crops as (select source, k, cs, ce from pairs where ilabel in ({lab})),
+crops as (select source, k, ik, cs, ce from pairs where ilabel in ({lab})),
 ordered as (
-  select *, max(ce) over (partition by source, k order by cs, ce
+  select *, max(ce) over (partition by source, k order by cs, ce, ik
                           rows between unbounded preceding and 1 preceding) prev_max
   from crops),
 isl as (
   select *, sum(case when prev_max is null or cs > prev_max then 1 else 0 end)
-            over (partition by source, k order by cs, ce rows unbounded preceding) g
+            over (partition by source, k order by cs, ce, ik rows unbounded preceding) g
   from ordered),
 merged as (select source, k, g, min(cs) ms, max(ce) me from isl group by source, k, g),
 pieces as (

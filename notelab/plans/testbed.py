@@ -477,7 +477,7 @@ def with_ctes(sql: str, *names: str, extra: str = "") -> str:
 
     for n in names:
         add(n)
-    parts = [f"{n} as ({ORACLE_CTES[n]}\n)" for n in order if n in need]
+    parts = [f"{n} as materialized ({ORACLE_CTES[n]}\n)" for n in order if n in need]
     if extra.strip():
         parts.append(extra.strip())
     return "with " + ",\n".join(parts) + "\n" + sql
