@@ -10,8 +10,12 @@ with one bit wildcarded (deleted): 64 rows (position, segment without that bit)
 per distinct fingerprint.  Rows with an equal variant are joined and verified by
 counting the differing bits.
 
+Variants that two fingerprints share are read off the count; of the others the
+rows are made again, only those that a Bloom filter of the shared variants lets
+through, so that the index shuffles once.
+
 A variant that more than ``SMALL`` fingerprints share is not expanded into
-pairs.  Its members move on to variants with two deleted bits, that of the
+pairs (a member of it costs about 48 rows, which is what 96 members cost in pairs).  Its members move on to variants with two deleted bits, that of the
 shared variant and each of the other segment: 62 bits remain, at most four
 fingerprints share them, and all of those are linked.  What differs in two bits
 of one segment only agrees in the whole other one and meets in its first
@@ -41,12 +45,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notelab.llm import bytewords as bw
+from notelab.llm.bloom import Members
 from notelab.llm.common import fresh_name, written
 from notelab.llm.components import connected_components
 
 BITS = 64
 HALF = 32
-SMALL = 16
+SMALL = 64
 SEED = 42
 ROWS = 1 << 16
 
@@ -124,6 +129,28 @@ def variants(fps: DataFrame) -> DataFrame:
     return rows.select((at.cast("long") * F.lit(1 << HALF) + kept).alias("key"), "fp")
 
 
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        key = batch.column(0).to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(bw.mix(key.view(np.uint64)).view(np.int64))], names=["h"])
+
+
+def _rows_of(members: Members):
+    """The rows of ``variants`` whose key may be one of the members."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = batch.column(0).to_numpy(zero_copy_only=False)
+            u = fp.view(np.uint64)
+            for at in range(BITS):
+                half = u & np.uint64(0xFFFFFFFF) if at < HALF else u >> np.uint64(HALF)
+                key = (half & ~np.uint64(1 << at % HALF)) | np.uint64(at << HALF)
+                hit = members.may_have(bw.mix(key).view(np.int64))
+                if hit.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(key[hit].view(np.int64)), pa.array(fp[hit])], names=["key", "fp"])
+
+    return run
+
+
 def _differ(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
@@ -155,7 +182,9 @@ def links(fps: DataFrame, most: int = 2, small: int = SMALL) -> DataFrame:
     met = written(index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
                   .filter(F.col("n") > 1), "variants")
     two = met.filter(F.col("n") == 2).select(F.col("lo").alias("a"), F.col("hi").alias("b")).filter(_differ("a", "b") <= most)
-    rows = written(index.join(met.filter(F.col("n") > 2).select("key", "n"), "key"), "shared-variants")
+    more = met.filter(F.col("n") > 2).select("key", "n")
+    members = Members(more.select("key").mapInArrow(_mixed, "h long"), more.count(), hashed=True)
+    rows = written(fps.select("fp").mapInArrow(_rows_of(members), "key long, fp long").join(more, "key"), "shared-variants")
     few = rows.filter(F.col("n") <= small)
     pairs = (few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key")
              .filter((F.col("a") < F.col("b")) & (_differ("a", "b") <= most)).select("a", "b"))

@@ -208,7 +208,7 @@ def test_fingerprints_and_components_equal_brute_force(spark):
         if d is not None:
             least[root[p]] = min(d, least.get(root[p], d))
     wanted = collections.Counter((d, f"{p:016x}", least.get(root[p])) for d, p in prints)
-    for small in (16, 2):
+    for small in (64, 2):
         got = simhash.components(table, small=small)
         assert collections.Counter(tuple(r) for r in got.select("doc_id", "fingerprint", "component_id").collect()) == wanted
     kept = simhash.keep_one(table)
@@ -216,7 +216,7 @@ def test_fingerprints_and_components_equal_brute_force(spark):
     assert simhash.components(table.filter("false")).count() == 0
 
 
-@pytest.mark.parametrize("small", [2, 5, 16])
+@pytest.mark.parametrize("small", [2, 5, 64])
 def test_links_lose_no_pair_in_crowded_variants(spark, small):
     rng = random.Random(small)
     values = {0, (1 << 64) - 1}
