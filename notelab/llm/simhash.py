@@ -207,8 +207,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component, that with the least id; rows without an
-    id stay; columns as given."""
-    found = components(docs, id_col, text_col, **options)
+    id stay; rows that share an id stay together if one of them does; columns as
+    given."""
+    found = components(docs, id_col, text_col, **options).groupBy("doc_id").agg(
+        F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone"))
     key = fresh_name(docs, "removed_id")
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
+    gone = found.filter("gone").select(F.col("doc_id").alias(key))
     return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col(key), "left_anti")
