@@ -193,7 +193,8 @@ def _filled(template: str) -> Column:
 def d_intakes(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Prescription lines that name two drugs, each with a dose and a form of
     ``INTAKE_FORMS``, and where the drugs stand."""
-    line = F.concat_ws("#", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    keys = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    line = F.concat_ws("#", *keys, F.col("l_quantity").cast("int").cast("string"))
     size = len(INTAKE_FORMS)
     rows = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         line.alias("line"), F.col("l_linenumber").cast("int").alias("n"), F.col("l_quantity").cast("int").alias("q"),
@@ -400,7 +401,8 @@ select *, one || two txt, cast(length(one) as int) second_start from (
     select r.*, replace(replace(f1.words, '{{n}}', cast(n as varchar)), '{{m}}', cast(n + 1 as varchar)) words1,
            replace(replace(f2.words, '{{n}}', cast(n as varchar)), '{{m}}', cast(n + 1 as varchar)) words2
     from (
-      select concat_ws('#', cast(l_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar), cast(l_suppkey as varchar)) line,
+      select concat_ws('#', cast(l_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar), cast(l_suppkey as varchar),
+                       cast(cast(l_quantity as int) as varchar)) line,
              cast(l_linenumber as int) n, cast(l_quantity as int) q, p_name as first, lower(p_type) as second,
              cast((l_orderkey + l_linenumber) % {len(INTAKE_FORMS)} as int) form1,
              cast((l_orderkey * 5 + l_linenumber) % {len(INTAKE_FORMS)} as int) form2
