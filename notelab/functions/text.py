@@ -189,8 +189,9 @@ def term_from_path(c: Column) -> Column:
 
 
 def split_annotation(c: Column) -> tuple[Column, Column]:
-    """``CODE_measure`` → ([CODE], [measure]); null → ([], [])."""
-    parts = F.split(c, "_")
+    """``CODE_measure`` → ([CODE], [measure]), cut at the first underscore;
+    null → ([], [])."""
+    parts = F.split(c, "_", 2)
     code = F.when(c.isNull(), F.array().cast("array<string>")).otherwise(F.array(parts[0]))
     meas = F.when(c.isNull() | (F.size(parts) < 2), F.array().cast("array<string>")).otherwise(
         F.array(parts[1]))

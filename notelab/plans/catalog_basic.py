@@ -97,8 +97,8 @@ def x08(spark, sf_dir):
 @query("X09_split_annotation", W("""
 select source, k,
        case when annotation is null then cast([] as varchar[]) else [string_split(annotation, '_')[1]] end code,
-       case when annotation is null or len(string_split(annotation, '_')) < 2 then cast([] as varchar[])
-            else [string_split(annotation, '_')[2]] end measure
+       case when annotation is null or not contains(annotation, '_') then cast([] as varchar[])
+            else [substring(annotation, strpos(annotation, '_') + 1)] end measure
 from d_gold""", "d_gold"))
 def x09(spark, sf_dir):
     g = tb.d_gold(tb.tables(spark, sf_dir).documents)

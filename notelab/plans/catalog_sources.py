@@ -272,7 +272,26 @@ def s18(spark, sf_dir):
     return spark.read.json(path)
 
 
-@query("D20_repair_attributes")
+# a technique stands right after its own mention where no negation comes between
+_BARE = "not (k % 13 = 0 or k % 7 = 0)"
+_D20_SQL = f"""
+select source, cast(ln as integer) ln, line from (
+  select *, row_number() over (partition by source order by n, kind, j) ln from (
+    select source, n, 0 kind, 0 j, true keeps, regexp_replace(concat('T', n, chr(9),
+             case when k % 17 = 0 and {_BARE} then 'Dosage' else label end, ' ',
+             array_to_string(list_transform(range(1, len(nl) + 2), lambda i: concat(
+               s + case when i = 1 then 0 else nl[i - 1] + 1 end, ' ', s + case when i > len(nl) then length(term) else nl[i] end)), ';'),
+             chr(9), term), '\\s+$', '') line
+    from (select *, {_T} n, list_transform(list_filter(range(1, length(term) + 1), lambda i: substring(term, i, 1) = chr(10)),
+                                           lambda i: i - 1) nl from d_inner where label = 'Chemical_and_drugs') m
+    union all
+    select source, n, 2, case when name = 'Tech' then 1 else 0 end, name <> 'Tech' or not ({_BARE}),
+           concat('A', a, chr(9), name, ' T', n, ' ', case when value = '' then 'neg' else value end)
+    from ({_ATTRS}) t) u) v
+where keeps"""
+
+
+@query("D20_repair_attributes", W(_D20_SQL, "d_inner"))
 def d20(spark, sf_dir):
     m = _drug_mentions_with_attributes(spark, sf_dir)
     lines = so.standoff_lines(m, attributes="attributes")
