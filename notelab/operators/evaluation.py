@@ -217,3 +217,17 @@ def bootstrap_multinomial(outcomes: DataFrame, draws: int, col: str = "outcome",
 
     per = ids.mapInPandas(draw, "tp long, fp long, fn long")
     return _summarise(per)
+
+
+def concat_lists(df: DataFrame, by: Sequence[str], order: str, first: Sequence[str] = (), collected: Sequence[str] = (),
+                 concatenated: Sequence[str] = ()) -> DataFrame:
+    """Per group, in the order of ``order`` (unique within a group): the first
+    value of the columns ``first`` (named ``first_<column>``), the list of the values of
+    ``collected`` (nulls kept) and the concatenation of the arrays ``concatenated`` (a
+    null array adds nothing).  A list is as long as its group: for groups within a note."""
+    used = list(dict.fromkeys([order, *first, *collected, *concatenated]))
+    rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*used))).alias("_l"))
+    return rows.select(
+        *by, *(F.col("_l")[0][c].alias(f"first_{c}") for c in first),
+        *(F.col(f"_l.{c}").alias(c) for c in collected),
+        *(F.flatten(F.filter(F.col(f"_l.{c}"), lambda v: v.isNotNull())).alias(c) for c in concatenated))

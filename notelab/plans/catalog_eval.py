@@ -336,15 +336,15 @@ def a04(spark, sf_dir):
 
 
 @query("A03_concat_lists", W("""
-select source, term, min(k) first_k, flatten(list(codes order by k)) codes, flatten(list(found order by k)) found
+select source, term, min(k) first_k, list(label order by k) terms, list(concat(label, ' ', s, '-', e) order by k) des,
+       flatten(list(codes order by k)) codes, flatten(list(found order by k)) found
 from d_pred group by source, term""", "d_pred"))
 def a03(spark, sf_dir):
     _, p = _gp(spark, sf_dir)
-    g = p.groupBy("source", "term").agg(
-        F.min_by("k", "k").alias("first_k"),
-        F.array_sort(F.collect_list(F.struct("k", "codes", "found"))).alias("_l"))
-    return g.select("source", "term", "first_k", F.flatten(F.transform("_l", lambda x: x["codes"])).alias("codes"),
-                    F.flatten(F.transform("_l", lambda x: x["found"])).alias("found"))
+    # the label plays the part of the mention's own text, its place that of the description
+    p = p.select("source", "term", "k", F.col("label").alias("terms"), "codes", "found",
+                 F.concat("label", F.lit(" "), F.col("s").cast("string"), F.lit("-"), F.col("e").cast("string")).alias("des"))
+    return ev.concat_lists(p, ["source", "term"], "k", ["k"], ["terms", "des"], ["codes", "found"])
 
 
 @query("O02_random_limit", W("""

@@ -49,3 +49,13 @@ def test_rows(spark):
     out = tf.row_expressions(df, {"twice": "transform(xs, x -> 2 * x)", "n": "size(twice)"})
     out = tf.parallel_map(out, lambda i, xs: i + len(xs) if xs is not None else None, ["id", "xs"], "sum", "int")
     assert [(r["twice"], r["sum"]) for r in out.orderBy("id").collect()] == [([2, 4], 3), (None, None)]
+
+
+def test_concat_lists_keep_order_and_nulls(spark):
+    from notelab.operators.evaluation import concat_lists
+
+    rows = [("n", "t", 3, "c", ["z"]), ("n", "t", 1, None, ["x", "y"]), ("n", "t", 2, "b", None), ("n", None, 1, "d", [])]
+    df = spark.createDataFrame(rows, "source string, term string, k int, des string, found array<string>").repartition(3)
+    got = {r["term"]: tuple(r)[2:] for r in concat_lists(df, ["source", "term"], "k", ["k"], ["des"], ["found"]).collect()}
+    assert got == {"t": (1, [None, "b", "c"], ["x", "y", "z"]), None: (1, ["d"], [])}
+    assert concat_lists(df.filter("false"), ["source"], "k", ["k"], ["des"], ["found"]).count() == 0
