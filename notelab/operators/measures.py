@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from notelab.functions import text as tx
 from notelab.functions import units as un
-from notelab.functions.numbers import literal_map
+from notelab.functions.numbers import apply_sql, literal_map
 from notelab.functions.text import remove_variants
 
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
@@ -83,40 +83,38 @@ def find_all(text: Column, pattern: str, groups: Sequence[int] = ()) -> Column:
 
     One regex pass: ``regexp_replace`` wraps every match, followed by its
     groups, in MARK; a single-character ``split`` (no regex) cuts the text into
-    alternating gaps and matches, one fold turns their lengths into offsets, and
-    another split of each match gives the groups.  The lambdas only touch their
-    own arguments, so nothing is re-evaluated per element."""
-    inner = "$0" + "".join(f"{SEP}${g}" for g in groups)
-    marked = F.regexp_replace(F.translate(text, MARK + SEP, MARK_SUB * 2), pattern, MARK + inner + MARK)
-    parts = F.split(marked, MARK, -1)
+    alternating gaps and matches, their lengths are summed to offsets, and
+    another split of each match gives the groups.  The sums run over blocks of
+    ``OFFSET_BLOCK`` parts and then over the blocks, since a fold copies the
+    array it grows at each step: n parts cost n (b + n / b) copies with blocks of
+    b, not n squared.  The lambdas only touch their own arguments, so nothing is
+    re-evaluated per element."""
+    parts = F.split(_marked(text, pattern, groups), MARK, -1)
+    return apply_sql(parts, "p", _matches_sql("p", groups))
 
-    def step(acc: Column, x: Column) -> Column:
-        item = F.struct(acc["pos"].alias("start"), x.alias("m"))
-        out = F.when(acc["i"] % 2 == 1, F.concat(acc["out"], F.array(item))).otherwise(acc["out"])
-        own = F.substring_index(x, SEP, 1) if groups else x
-        return F.struct((acc["i"] + 1).alias("i"), (acc["pos"] + F.length(own)).cast("int").alias("pos"),
-                        out.alias("out"))
-
-    init = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"),
-                    F.array().cast("array<struct<start:int,m:string>>").alias("out"))
-    found = F.aggregate(parts, init, step, lambda acc: acc["out"])
-    if not groups:
-        return found
-    found = F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.split(x["m"], SEP, -1).alias("p")))
-    return F.transform(found, lambda x: F.struct(
-        x["start"].alias("start"), x["p"][0].alias("m"), *[x["p"][i + 1].alias(f"g{g}") for i, g in enumerate(groups)]))
 
+#: Parts per block of the offset sums; even, so that a block begins with a gap.
+OFFSET_BLOCK = 128
 
-def find_all_sql(text: str, pattern: str, groups: Sequence[int] = ()) -> str:
-    """``find_all`` as SQL text over the expression ``text``."""
+
+def _marked(text: Column, pattern: str, groups: Sequence[int]) -> Column:
     inner = "$0" + "".join(f"{SEP}${g}" for g in groups)
+    return F.regexp_replace(F.translate(text, MARK + SEP, MARK_SUB * 2), pattern, MARK + inner + MARK)
+
+
+def _matches_sql(p: str, groups: Sequence[int]) -> str:
+    """The matches among the parts ``p`` (a lambda variable) as SQL text."""
     own = f"substring_index(x, '{SEP}', 1)" if groups else "x"
     found = f"""aggregate(
-      split(regexp_replace(translate({text}, '{MARK}{SEP}', '{MARK_SUB * 2}'), r'{pattern}', '{MARK}{inner}{MARK}'), '{MARK}', -1),
-      named_struct('i', 0, 'pos', 0, 'out', cast(array() as array<struct<start: int, m: string>>)),
-      (acc, x) -> named_struct('i', acc.i + 1, 'pos', acc.pos + length({own}),
-        'out', if(acc.i % 2 = 1, concat(acc.out, array(named_struct('start', acc.pos, 'm', x))), acc.out)),
-      acc -> acc.out)"""
+      transform(sequence(0, (size({p}) - 1) div {OFFSET_BLOCK}), b -> aggregate(
+        slice({p}, cast(b * {OFFSET_BLOCK} + 1 as int), {OFFSET_BLOCK}),
+        named_struct('i', 0, 'pos', 0, 'out', cast(array() as array<struct<start: int, m: string>>)),
+        (acc, x) -> named_struct('i', acc.i + 1, 'pos', acc.pos + length({own}),
+          'out', if(acc.i % 2 = 1, concat(acc.out, array(named_struct('start', acc.pos, 'm', x))), acc.out)))),
+      named_struct('pos', 0, 'out', cast(array() as array<array<struct<start: int, m: string>>>)),
+      (acc, x) -> named_struct('pos', acc.pos + x.pos, 'out', concat(acc.out, array(
+        transform(x.out, y -> named_struct('start', acc.pos + y.start, 'm', y.m))))),
+      acc -> flatten(acc.out))"""
     if not groups:
         return found
     named = ", ".join(f"'g{g}', x.p[{i + 1}]" for i, g in enumerate(groups))
@@ -124,6 +122,13 @@ def find_all_sql(text: str, pattern: str, groups: Sequence[int] = ()) -> str:
       x -> named_struct('start', x.start, 'm', x.p[0], {named}))"""
 
 
+def find_all_sql(text: str, pattern: str, groups: Sequence[int] = ()) -> str:
+    """``find_all`` as SQL text over the expression ``text``."""
+    inner = "$0" + "".join(f"{SEP}${g}" for g in groups)
+    parts = f"""split(regexp_replace(translate({text}, '{MARK}{SEP}', '{MARK_SUB * 2}'), r'{pattern}', '{MARK}{inner}{MARK}'), '{MARK}', -1)"""
+    return f"transform(array({parts}), p -> {_matches_sql('p', groups)})[0]"
+
+
 def _unit_of(term: Column, table: dict[str, str]) -> Column:
     return F.element_at(literal_map(table), term)
 

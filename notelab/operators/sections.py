@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notelab.functions.numbers import apply_sql
 from notelab.operators import measures as ms
 from notelab.operators import spans
 
@@ -77,29 +78,50 @@ def word_mentions(notes: DataFrame, note: str, text: str, min_len: int = 9) -> D
                                                                        code_of(F.col("term"), 1)))))
 
 
-def tag_mentions(notes: DataFrame, terminology: DataFrame, note: Sequence[str], text: str, term: str = "term",
-                 code: str = "code", max_words: int = 5) -> DataFrame:
-    """D01 as a gazetteer: runs of up to ``max_words`` words of the lower-cased,
-    accent-folded text that equal a folded term, longest first where they
-    overlap: ``note…, s, e, term, code`` (the least code of a term).
-
-    Every run is a row of an equi-join with the terminology; nothing is
-    broadcast but what AQE measures as small.  Trained taggers plug in with
-    :func:`tag_with`."""
-    from notelab.operators.corpus import resolve_overlaps
-    key = F.struct(*note)
-    words = notes.select(key.alias("_note"), ms.find_all(ms.normalize_for_matching(F.col(text)), "[a-z0-9]+").alias("_w"))
-    runs = words.select("_note", F.posexplode("_w").alias("_i", "_x"), "_w").select(
-        "_note", F.col("_x")["start"].alias("s"), F.explode(F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("_w") - F.col("_i"))),
-            lambda n: F.slice("_w", F.col("_i") + 1, n))).alias("_run"))
+def folded_words(c: Column) -> Column:
+    """The lower-cased, accent-folded words of a text, joined by a space."""
+    return F.array_join(F.regexp_extract_all(ms.normalize_for_matching(c), F.lit("[a-z0-9]+"), F.lit(0)), " ")
+
+
+def phrase_matches(notes: DataFrame, terminology: DataFrame, note: Sequence[str], text: str, term: str = "term",
+                   code: str = "code") -> DataFrame:
+    """Every run of words of a note that equals a folded term, overlapping ones
+    included: ``_note (struct), s, e, term, code`` (least term and code of equal ones).
+
+    The terms make a trie of two levels: a term's first word with the numbers of
+    words that its terms have, and below it the terms.  A note is exploded to a row
+    a word with the words after it (as many as the longest term has, never the
+    note's whole array); the join on the first word keeps the places where a term
+    can begin, and only these are extended, once for each length that occurs under
+    that word.  Both joins are equi-joins that AQE plans and splits by size; nothing
+    is broadcast but what it measures as small.  Notes without text and terms
+    without a word match nothing."""
+    folded = terminology.select(folded_words(F.col(term)).alias("_folded"), F.col(term).alias("term"),
+                                F.col(code).alias("code")).where(F.col("_folded") != "")
+    terms = folded.groupBy("_folded").agg(F.min("term").alias("term"), F.min("code").alias("code"))
+    size = F.size(F.split("_folded", " "))
+    first = folded.groupBy(F.substring_index("_folded", " ", 1).alias("_first")).agg(F.collect_set(size).alias("_sizes"))
+    longest = folded.agg(F.max(size)).first()[0] or 1  # one number
+    found = ms.find_all(ms.normalize_for_matching(F.col(text)), "[a-z0-9]+")
+    ahead = apply_sql(found, "f", f"transform(f, (x, i) -> slice(f, i + 1, {int(longest)}))")
+    words = notes.select(F.struct(*note).alias("_note"), F.explode(ahead).alias("_ahead"))
+    begins = words.withColumn("_first", F.col("_ahead")[0]["m"]).join(first, "_first")
+    runs = begins.select("_note", "_ahead", F.explode("_sizes").alias("_n")).where(F.col("_n") <= F.size("_ahead"))
+    runs = runs.select("_note", F.slice("_ahead", F.lit(1), F.col("_n")).alias("_run"))
     last = F.element_at("_run", -1)
-    runs = runs.select("_note", "s", (last["start"] + F.length(last["m"])).alias("e"),
+    runs = runs.select("_note", F.col("_run")[0]["start"].alias("s"), (last["start"] + F.length(last["m"])).alias("e"),
                        F.array_join(F.transform("_run", lambda x: x["m"]), " ").alias("_folded"))
-    folded = F.array_join(F.regexp_extract_all(ms.normalize_for_matching(F.col(term)), F.lit("[a-z0-9]+"), F.lit(0)), " ")
-    terms = terminology.groupBy(folded.alias("_folded")).agg(F.min(term).alias("term"), F.min(code).alias("code"))
-    found = runs.join(terms.where(F.col("_folded") != ""), "_folded")
-    found = found.select("_note", "s", "e", "term", "code", F.col("s").alias("k"))
+    return runs.join(terms, "_folded").select("_note", "s", "e", "term", "code")
+
+
+def tag_mentions(notes: DataFrame, terminology: DataFrame, note: Sequence[str], text: str, term: str = "term",
+                 code: str = "code") -> DataFrame:
+    """D01 as a gazetteer: the runs of words that equal a folded term (any number
+    of words), longest first where they overlap, then the earlier one:
+    ``note…, s, e, term, code`` (the least term and code of equal folded terms).
+    Trained taggers plug in with :func:`tag_with`."""
+    from notelab.operators.corpus import resolve_overlaps
+    found = phrase_matches(notes, terminology, note, text, term, code)
     # runs that begin at one word differ in length: the pair is their id
     kept = resolve_overlaps(found.withColumn("k", F.struct("s", "e")), note="_note", mid="k")
     return kept.select("_note.*", "s", "e", "term", "code")

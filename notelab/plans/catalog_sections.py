@@ -45,6 +45,47 @@ def d11(spark, sf_dir):
     return sc.detect_sections(_notes(spark, sf_dir), "conv_id", "note_text")
 
 
+# five words of a benchmark item, two that overlap them, one that lies inside, and
+# the two words before; all of them occur inside the texts
+_TERM_WORDS = ((2, 5), (6, 2), (4, 1), (1, 2))
+
+
+def d_phrases(benchmark):
+    """Terminology of one to five words: ``term, code``."""
+    words = F.split(sc.folded_words(F.col("text")), " ")
+    parts = F.array(*[F.struct(F.array_join(F.slice(words, a, n), "-").alias("term"),
+                               F.concat(F.lit(f"T{n}-"), F.col("item_id").cast("string")).alias("code")) for a, n in _TERM_WORDS])
+    return benchmark.select(F.explode(parts).alias("x")).select("x.term", "x.code").where("term != ''")
+
+
+_AHEAD = ", ".join("{'e': lead(e, %d) over w, 'f': %s}" % (n, " || ' ' || ".join(f"lead(m, {i}) over w" for i in range(n + 1)))
+                   for n in range(5))
+_PHRASES_SQL = f"""with recursive
+terms as (select 'T' || n || '-' || item_id code, array_to_string(words[a:a + n - 1], ' ') folded
+          from (select item_id, regexp_extract_all({sm.norm('text')}, '[a-z0-9]+', 0) words from benchmark) b,
+               (values {', '.join(str(x) for x in _TERM_WORDS)}) v(a, n)),
+folded as materialized (select folded, min(code) code from terms where folded <> '' group by folded),
+words as (select doc_id, m, start s, cast(start + length(m) as integer) e
+          from {sm.find_all('documents', 'doc_id', 'text', '[a-z0-9]+', ())} x),
+runs as (select doc_id, s, unnest([{_AHEAD}]) x from words window w as (partition by doc_id order by s)),
+hits as materialized (select doc_id, s, x.e e, code from runs join folded on folded = x.f),
+ranked as materialized (select doc_id, {{'s': s, 'e': e, 'code': code}} own,
+                               row_number() over (partition by doc_id order by e - s desc, s) r from hits),
+greedy as (
+  select doc_id, r, [{{'s': own.s, 'e': own.e}}] kept, own from ranked where r = 1
+  union all
+  select doc_id, r, case when clash then kept else list_append(kept, {{'s': own.s, 'e': own.e}}) end, case when clash then null else own end
+  from (select y.*, g.kept, len(list_filter(g.kept, lambda z: least(z.e, y.own.e) > greatest(z.s, y.own.s))) > 0 clash
+        from greedy g join ranked y on y.doc_id = g.doc_id and y.r = g.r + 1) x)
+select doc_id, own.s s, own.e e, own.code code from greedy where own is not null"""
+
+
+@query("D01_tag_phrases", _PHRASES_SQL)
+def d01_phrases(spark, sf_dir):
+    t = tb.tables(spark, sf_dir)
+    return sc.tag_mentions(t.documents, d_phrases(t.benchmark), ["doc_id"], "text").select("doc_id", "s", "e", "code")
+
+
 def _stats(spark, sf_dir):
     notes = _notes(spark, sf_dir)
     secs = sc.detect_sections(notes, "conv_id", "note_text")
