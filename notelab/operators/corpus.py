@@ -134,22 +134,28 @@ def resolve_overlaps(mentions: DataFrame, note: str = "source", mid: str = "k")
 
     Spans decide about each other only within a run of overlapping spans, so a
     note is first cut into such islands (a span that starts at or after all
-    earlier ends opens one), and only an island is folded."""
+    earlier ends opens one), and only an island is folded.  The rows travel with
+    their spans, so the mentions are computed and shuffled once.  ``mid`` is unique
+    within a note; of rows that share it with equal offsets one is kept.  A mention
+    without offsets overlaps nothing and stays."""
     earlier = Window.partitionBy(note).orderBy("s", "e", mid).rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy(note).orderBy("s", "e", mid).rowsBetween(Window.unboundedPreceding, 0)
     opens = F.coalesce(F.col("s") >= F.max("e").over(earlier), F.lit(True)).cast("int")
-    cut = mentions.select(note, mid, "s", "e", opens.alias("_o")).withColumn("_island", F.sum("_o").over(so_far))
-    g = cut.groupBy(note, "_island").agg(F.array_sort(
-        F.collect_list(F.struct((F.col("s") - F.col("e")).alias("neg_len"), F.col("s").alias("s"),
-                                F.col("e").alias("e"), F.col(mid).alias("id")))).alias("_m"))
+    row = F.struct(*(F.col(f"`{c}`") for c in mentions.columns)).alias("row")
+    cut = mentions.select(F.col(note).alias("_note"), F.col(mid).alias("_id"), "s", "e", row, opens.alias("_o"))
+    so_far = Window.partitionBy("_note").orderBy("s", "e", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    g = cut.withColumn("_island", F.sum("_o").over(so_far)).groupBy("_note", "_island").agg(
+        F.collect_list(F.struct("s", "e", F.col("_id").alias("id"), "row")).alias("_rows"))
+    # the order is sorted apart from the rows, which may hold maps
+    g = g.select("_rows", F.array_sort(F.transform("_rows", lambda x, i: F.struct(
+        (x["s"] - x["e"]).alias("neg_len"), x["s"].alias("s"), x["e"].alias("e"), x["id"].alias("id"), i.alias("i")))).alias("_m"))
 
     def step(kept: Column, x: Column) -> Column:
         clash = F.exists(kept, lambda y: F.least(y["e"], x["e"]) > F.greatest(y["s"], x["s"]))
-        return F.when(clash, kept).otherwise(F.concat(kept, F.array(x)))
+        return F.when(F.coalesce(clash, F.lit(False)), kept).otherwise(F.concat(kept, F.array(x)))
 
     empty = F.array().cast(g.schema["_m"].dataType)
-    kept = g.select(note, F.explode(F.aggregate("_m", empty, step)).alias("x")).select(note, F.col("x.id").alias(mid))
-    return mentions.join(kept, [note, mid], "left_semi")
+    kept = g.select("_rows", F.explode(F.aggregate("_m", empty, step)).alias("x"))
+    return kept.select(F.col("_rows")[F.col("x.i")]["row"].alias("row")).select("row.*")
 
 
 SENTENCE = r"[^.!?\n]+[.!?]*"
