@@ -3,6 +3,9 @@
 Our grammar (the reference only configures an external matcher):
 
 * number ``[0-9]+([.,][0-9]+)?`` not glued to a letter or digit on its left;
+* opt-in (``spoken``): French number words, and ranges ``low a high unit`` (also
+  ``low-high unit`` with a low in digits, and ``entre low et high unit``), which
+  give two measures, ``>=`` low and ``<=`` high, with the offsets of the whole;
 * optional comparison word before it (``<``, ``>=``, ``inferieur a`` …);
 * a unit from the registry right after it, optionally ``/`` or ``par`` and
   a second unit → ``a_per_b``.  Units are tried longest first; a unit ending
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from notelab.functions import text as tx
 from notelab.functions import units as un
+from notelab.functions import numbers as nb
 from notelab.functions.numbers import apply_sql, literal_map
 from notelab.functions.text import remove_variants
 
@@ -66,6 +70,19 @@ def measure_pattern(units: Sequence[un.Unit] = (), table_mode: bool = False) ->
             rf"(?:\s*(?:{div})\s*({unit_alt}))?")
 
 
+def spoken_pattern(units: Sequence[un.Unit] = ()) -> str:
+    """Regex with groups 1 comparison word, 2 to 4 low of a range (after ``entre``;
+    before ``a``; before a hyphen), 5 number, 6 unit, 7 divisor unit; all are empty
+    for a date."""
+    unit_alt = _alt(list(un.term_table(tuple(units) or tuple(u for u in un.UNITS if u.dim != "time"))))
+    range_alt = _alt([t for t, _ in un.RANGE_TERMS])
+    div = "|".join(rx_escape(d) + (r"\b" if d[-1].isalnum() else "") for d in un.UNIT_DIVISORS)
+    number = rf"(?:{NUMBER}|{nb.WORDS}\b)"
+    low = rf"(?:entre\s+({number})\s+et\s+|({number})\s+a\s+|({NUMBER})\s*-\s*)?"
+    return (rf"\b{DATE}\b|(?:({range_alt})\s*)?\b{low}({number})\s*({unit_alt})"
+            rf"(?:\s*(?:{div})\s*({unit_alt}))?")
+
+
 def normalize_for_matching(c: Column) -> Column:
     """Lower-case and fold accents/quotes one-to-one (offsets preserved)."""
     return tx.fold_ascii_length_preserving(F.lower(c))
@@ -133,26 +150,45 @@ def _unit_of(term: Column, table: dict[str, str]) -> Column:
     return F.element_at(literal_map(table), term)
 
 
-def extract_measures(text: Column, table_mode: bool = False, units: Sequence[un.Unit] = ()) -> Column:
-    """Measures (``MEASURE_TYPE`` array) found in ``text``."""
+def extract_measures(text: Column, table_mode: bool = False, units: Sequence[un.Unit] = (), spoken: bool = False) -> Column:
+    """Measures (``MEASURE_TYPE`` array) found in ``text``; with ``spoken`` also
+    number words and ranges (of running text, so not in table mode).  A comparison
+    word before a range, or a low above its high, leaves the high alone.  A null
+    text has no result, an empty one no measures."""
+    if spoken and table_mode:
+        raise ValueError("number words and ranges are read in running text only")
     unit_set = tuple(units) or tuple(u for u in un.UNITS if u.dim != "time")
     terms = un.term_table(unit_set)
     ranges = dict(un.RANGE_TERMS)
     norm = normalize_for_matching(text)
-    found = F.filter(find_all(norm, measure_pattern(unit_set, table_mode), [1, 2, 3, 4]), lambda x: x["g2"] != "")
+    number, first, second = ("g5", "g6", "g7") if spoken else ("g2", "g3", "g4")
+    pattern = spoken_pattern(unit_set) if spoken else measure_pattern(unit_set, table_mode)
+    found = F.filter(find_all(norm, pattern, range(1, 8 if spoken else 5)), lambda x: x[number] != "")
 
-    def to_measure(x: Column) -> Column:
-        u1, u2 = _unit_of(x["g3"], terms), _unit_of(x["g4"], terms)
-        unit = F.when(x["g4"] == "", u1).otherwise(F.concat(u1, F.lit("_per_"), u2))
-        value = F.regexp_replace(x["g2"], ",", ".").cast("double")
-        rng = F.when(x["g1"] == "", F.lit("=")).otherwise(_unit_of(x["g1"], ranges))
+    def measure(x: Column, rng: Column, value: Column) -> Column:
+        u1, u2 = _unit_of(x[first], terms), _unit_of(x[second], terms)
+        unit = F.when(x[second] == "", u1).otherwise(F.concat(u1, F.lit("_per_"), u2))
         return F.struct(rng.alias("value_range"), value.alias("value"), unit.alias("unit"),
                         un.unit_dim(unit).alias("dim"), (value * un.unit_scale(unit)).alias("base_value"),
                         x["start"].alias("start"), (x["start"] + F.length(x["m"])).cast("int").alias("end"),
                         F.call_function("substring", text, x["start"] + 1, F.length(x["m"])).alias(
                             "lexical_variant"))
 
-    return F.transform(found, to_measure)
+    def comparison(x: Column) -> Column:
+        return F.when(x["g1"] == "", F.lit("=")).otherwise(_unit_of(x["g1"], ranges))
+
+    if not spoken:
+        return F.transform(found, lambda x: measure(x, comparison(x), F.regexp_replace(x[number], ",", ".").cast("double")))
+
+    named = "x -> named_struct('start', x.start, 'm', x.m, 'g1', x.g1, 'g6', x.g6, 'g7', x.g7, 'high', {}, 'low', {})".format(
+        nb.number_sql("x.g5"), nb.number_sql("concat(x.g2, x.g3, x.g4)"))
+    valued = apply_sql(found, "f", f"transform(f, {named})")
+
+    def one_or_two(x: Column) -> Column:
+        pair = F.array(measure(x, F.lit(">="), x["low"]), measure(x, F.lit("<="), x["high"]))
+        return F.when((x["g1"] == "") & (x["low"] <= x["high"]), pair).otherwise(F.array(measure(x, comparison(x), x["high"])))
+
+    return F.flatten(F.transform(valued, one_or_two))
 
 
 # --------------------------------------------------------------------------

@@ -36,6 +36,59 @@ def d03(spark, sf_dir):
     return _explode(rx, ["l_orderkey", "l_linenumber"], ms.extract_measures(F.col("txt")))
 
 
+# French words of the numbers below 17 and of the tens.
+_UNITS = ("zero un deux trois quatre cinq six sept huit neuf dix onze douze treize quatorze quinze seize").split()
+_TENS = {20: "vingt", 30: "trente", 40: "quarante", 50: "cinquante"}
+
+
+def _spell(n: int) -> str:
+    if n < 17:
+        return _UNITS[n]
+    if n < 20:
+        return "dix-" + _UNITS[n - 10]
+    ten, one = n - n % 10, n % 10
+    return _TENS[ten] + ("" if one == 0 else " et un" if one == 1 else "-" + _UNITS[one])
+
+
+_SPELLED = [_spell(n) for n in range(1, 60)]
+# {w} and {v} stand for the words of a quantity and of a larger one, {d} and {c} for
+# the digits of both
+_SPOKEN_FORMS = ("prise de {w} g de sucre", "glycémie {d} à {c} mmol/l à jeun", "entre {w} et {v} mg par l", "CRP {d}-{c} mg/l",
+                 "de {w} à {v} UI", "inférieur à {w} g/l", "Cent {w} mg", "{c} à {d} g, deux cents mg")
+
+
+def d_spoken(lineitem):
+    """Sentences with spelled quantities and ranges: ``l_orderkey, l_linenumber, txt``."""
+    n = F.col("l_quantity").cast("int")
+    m = n + 1 + F.col("l_linenumber").cast("int")
+    spelled = F.array(*[F.lit(w) for w in _SPELLED])
+    forms = F.array(*[F.lit(f) for f in _SPOKEN_FORMS])
+    txt = forms[F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(len(_SPOKEN_FORMS))).cast("int")]
+    for mark, value in (("{w}", spelled[n - 1]), ("{v}", spelled[m - 1]), ("{d}", n.cast("string")), ("{c}", m.cast("string"))):
+        txt = F.replace(txt, F.lit(mark), value)
+    return lineitem.select("l_orderkey", "l_linenumber", txt.alias("txt"))
+
+
+def _list_sql(values):
+    return "[" + ", ".join(sm.q(v) for v in values) + "]"
+
+
+_D_SPOKEN = f"""
+d_spoken as materialized (
+  select l_orderkey, l_linenumber, replace(replace(replace(replace(f, '{{w}}', {_list_sql(_SPELLED)}[n]), '{{v}}', {_list_sql(_SPELLED)}[m]),
+         '{{d}}', cast(n as varchar)), '{{c}}', cast(m as varchar)) txt
+  from (select l_orderkey, l_linenumber, cast(l_quantity as integer) n, cast(l_quantity as integer) + 1 + cast(l_linenumber as integer) m,
+               {_list_sql(_SPOKEN_FORMS)}[(l_orderkey + l_linenumber) % {len(_SPOKEN_FORMS)} + 1] f from lineitem) x),"""
+
+
+@query("D03_spoken_measures", "with " + _D_SPOKEN.strip() + f"""
+{sm.unit_ctes()}
+select l_orderkey, l_linenumber, {MSEL} from {sm.spoken_measures('d_spoken', 'l_orderkey, l_linenumber', 'txt')} x""")
+def d03_spoken(spark, sf_dir):
+    said = d_spoken(tb.tables(spark, sf_dir).lineitem)
+    return _explode(said, ["l_orderkey", "l_linenumber"], ms.extract_measures(F.col("txt"), spoken=True))
+
+
 @query("D04_valueless_measures", W(f"select source, ln, {MSEL} from "
                                    f"{sm.valueless('d_lab_lines', 'source, ln', 'line')} x",
                                    "d_lab_lines", extra=sm.unit_ctes()))

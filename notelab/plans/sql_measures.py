@@ -7,6 +7,7 @@ instead of array folds) so the two sides check each other.
 
 from __future__ import annotations
 
+from notelab.functions import numbers as nb
 from notelab.functions import text as tx
 from notelab.functions import units as un
 from notelab.operators import measures as ms
@@ -73,6 +74,38 @@ def measures(src: str, ids: str, text: str, table_mode: bool = False, units: tup
   left join unit_info i2 on i2.unit = t2.unit)"""
 
 
+def number(x: str) -> str:
+    """The value of digits or French number words, null if ``x`` is empty."""
+    words = ", ".join(f"{q(w)}: {v!r}::double" for w, v in nb.NUMBER_WORDS.items())
+    values = (f"list_transform(list_filter(regexp_split_to_array({x}, '[\\s-]+'), lambda w: w not in ('', 'et')), "
+              f"lambda w: {{'total': 0::double, 'hand': 0::double, 'v': map {{{words}}}[w]}})")
+    spoken = f"""list_reduce(list_prepend({{'total': 0::double, 'hand': 0::double, 'v': 0::double}}, {values}), lambda a, b: {{
+      'total': a.total + case when b.v = 1000 then greatest(a.hand, 1) * 1000 else 0 end,
+      'hand': case when b.v = 1000 then 0 when b.v = 100 then greatest(a.hand, 1) * 100
+                   when b.v = 20 and a.hand % 10 = 4 then a.hand + 76 else a.hand + b.v end, 'v': b.v}})"""
+    return f"""case when regexp_matches({x}, '^[0-9]') then try_cast(replace({x}, ',', '.') as double)
+                    when {x} <> '' then (select r.total + r.hand from (select {spoken} r) z) end"""
+
+
+def spoken_measures(src: str, ids: str, text: str) -> str:
+    """D03 rows with number words; a range gives a row for its low and one for its high."""
+    f = find_all(src, ids, text, ms.spoken_pattern(), tuple(range(1, 8)))
+    idc = ", ".join(f"f.{c.strip()}" for c in ids.split(","))
+    return f"""(
+  select {idc}, x.vr value_range, x.v value, case when f.g7 = '' then t1.unit else t1.unit || '_per_' || t2.unit end unit,
+         case when f.g7 = '' then i1.dim else i1.dim || '_per_' || i2.dim end dim,
+         x.v * case when f.g7 = '' then i1.scale else i1.scale / i2.scale end base_value,
+         f.start, cast(f.start + length(f.m) as integer) "end", substring(f._txt, f.start + 1, length(f.m)) lexical_variant
+  from (select v.*, unnest(case when g1 = '' and low <= high then [{{'vr': '>=', 'v': low}}, {{'vr': '<=', 'v': high}}]
+                                else [{{'vr': coalesce(r.vr, '='), 'v': high}}] end) x
+        from (select *, {number('g5')} high, {number('concat(g2, g3, g4)')} low from {f} w where g5 <> '') v
+        left join range_terms r on r.term = v.g1) f
+  left join unit_terms t1 on t1.term = f.g6
+  left join unit_terms t2 on t2.term = f.g7
+  left join unit_info i1 on i1.unit = t1.unit
+  left join unit_info i2 on i2.unit = t2.unit)"""
+
+
 def valueless(src: str, ids: str, text: str) -> str:
     f = find_all(src, ids, text, ms.valueless_pattern(), (1,))
     idc = ", ".join(f"f.{c.strip()}" for c in ids.split(","))

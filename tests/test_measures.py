@@ -55,3 +55,26 @@ def test_tables(spark):
     assert [(r["value"], r["unit"], note[r["start"]:r["end"]]) for r in t] == [
         (13.7, "g_per_dl", "13,7 | g/dl"), (5.0, "mg_per_l", "5 | mg/l")]
     assert ms.detect_tables(df).collect()[0]["n_table_lines"] == 2
+
+
+def _spoken(spark, text):
+    df = spark.createDataFrame([(text,)], "t string").select(F.explode(ms.extract_measures(F.col("t"), spoken=True)).alias("m"))
+    return [(r["value_range"], r["value"], r["unit"], r["lexical_variant"]) for r in df.select("m.*").collect()]
+
+
+def test_number_words_and_ranges(spark):
+    assert _spoken(spark, "trois g de sucre") == [("=", 3.0, "g", "trois g")]
+    assert _spoken(spark, "5 à 7 mmol/l") == [(">=", 5.0, "mmol_per_l", "5 à 7 mmol/l"), ("<=", 7.0, "mmol_per_l", "5 à 7 mmol/l")]
+    assert _spoken(spark, "vingt et un g") == [("=", 21.0, "g", "vingt et un g")]
+    assert _spoken(spark, "quatre-vingt-dix-sept mg") == [("=", 97.0, "mg", "quatre-vingt-dix-sept mg")]
+    assert [x[:2] for x in _spoken(spark, "entre deux et trois cents mg")] == [(">=", 2.0), ("<=", 300.0)]
+    assert [x[:2] for x in _spoken(spark, "1,5-2 g")] == [(">=", 1.5), ("<=", 2.0)]
+    assert [x[:2] for x in _spoken(spark, "9 a 7 g, inférieur à 2 a 3 g, le 12/03/2020 4 g")] == [("=", 7.0), ("<", 3.0), ("=", 4.0)]
+    assert _spoken(spark, "") == [] and _spoken(spark, "un deux trois") == []
+
+
+def test_spoken_reads_what_the_plain_grammar_reads(spark):
+    text = "Hb 13,7 g/dl ; CRP < 5 mg/l, ASAT 12345678901234567890 UI"
+    df = spark.createDataFrame([(text,), (None,)], "t string")
+    for r in df.select(ms.extract_measures(F.col("t")).alias("a"), ms.extract_measures(F.col("t"), spoken=True).alias("b")).collect():
+        assert r["a"] == r["b"]
