@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from notelab.functions.numbers import apply_sql
@@ -173,11 +173,80 @@ def cohort_by_disease(mentions: DataFrame, kb: DataFrame, note: str) -> DataFram
     return ex.join(kb.select("code", "disease"), "code").select("disease", note).distinct()
 
 
+#: Buckets of a bracket in one round of :func:`exact_quantiles`.
+BUCKETS = 1024
+
+
+def _signed_log(v: Column) -> Column:
+    """Rises with ``v``; 745 is above minus the logarithm of the least double."""
+    return F.signum(v) * F.coalesce(F.log(F.abs(v)) + 745, F.lit(0.0))
+
+
+def _bucket(v: Column, lo: Column, hi: Column, by_log: bool) -> Column:
+    """The bucket of a value of ``[lo, hi]``, rising with the value; the ends fall
+    into different ones, also where the width overflows or underflows."""
+    x, first, last = (_signed_log(c) if by_log else c / 2 for c in (v, lo, hi))
+    share = F.try_divide(x - first, last - first)
+    inner = F.when(F.coalesce(F.isnan(share), F.lit(True)), F.lit(1)).otherwise(F.floor(share * BUCKETS))
+    inside = F.least(F.greatest(inner, F.lit(0)), F.lit(BUCKETS - 1))
+    return F.when(v == lo, 0).when(v == hi, BUCKETS - 1).otherwise(inside).cast("int")
+
+
+def exact_quantiles(values: DataFrame, group: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """``group…, quantiles`` (array, one per share): exact interpolated quantiles by
+    distributed selection; nulls and NaN are left out, groups without values have no row.
+
+    Values are counted once per (group, value), a shuffle that spreads a hot group
+    over its values.  Every rank looked for has a bracket ``[lo, hi]``; a round counts
+    the bracket's values in ``BUCKETS`` buckets of equal width (on a logarithmic scale
+    in every other round, for values of many magnitudes; combined before the shuffle), adds up at most that many rows, and narrows the bracket to the least and
+    greatest value of the bucket with the rank, until both are equal.  No task ever
+    sees the values of a group together; the driver only learns whether a bracket is
+    still open."""
+    from notelab.session import cut_lineage
+    if not shares:
+        raise ValueError("no shares")
+    v = F.col(f"`{value}`").cast("double")
+    counts = cut_lineage(values.where(v.isNotNull() & ~F.isnan(v)).groupBy(
+        F.struct(*(F.col(f"`{c}`") for c in group)).alias("_g"), v.alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    totals = counts.groupBy("_g").agg(F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    place = [(F.col("_total") - 1) * F.lit(float(q)) for q in shares]
+    ranks = F.array_distinct(F.array(*[f(x).cast("bigint") for x in place for f in (F.floor, F.ceil)]))
+    open_ = cut_lineage(totals.select("_g", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.explode(ranks).alias("_rank")))
+    found = open_.where("_lo = _hi")
+    by_log = False
+    while open_.where("_lo < _hi").limit(1).count():
+        by_log = not by_log
+        open_ = open_.where("_lo < _hi")
+        brackets = open_.select("_g", "_lo", "_hi", "_below").distinct()
+        bucketed = counts.join(brackets, "_g").where("_v between _lo and _hi").groupBy(
+            "_g", "_lo", "_hi", "_below", _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), by_log).alias("_b")).agg(
+            F.sum("_n").alias("_in"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        so_far = Window.partitionBy("_g", "_lo", "_hi", "_below").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        ends = bucketed.withColumn("_to", F.col("_below") + F.sum("_in").over(so_far))
+        holds = (F.col("_rank") < F.col("_to")) & (F.col("_rank") >= F.col("_to") - F.col("_in"))
+        open_ = cut_lineage(open_.join(ends, ["_g", "_lo", "_hi", "_below"]).where(holds).select(
+            "_g", F.col("_least").alias("_lo"), F.col("_most").alias("_hi"), (F.col("_to") - F.col("_in")).alias("_below"), "_rank"))
+        found = found.unionByName(open_.where("_lo = _hi"))
+    at = found.groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_at"))
+
+    def between(x: Column) -> Column:
+        low, high = F.floor(x).cast("bigint"), F.ceil(x).cast("bigint")
+        a, b = F.col("_at")[low], F.col("_at")[high]
+        return F.when(a == b, a).otherwise((high - x) * a + (x - low) * b)
+
+    return totals.join(at, "_g").select("_g.*", F.array(*[between(x) for x in place]).alias("quantiles"))
+
+
 def measurement_stats(measures: DataFrame, group: Sequence[str], note: str, value: str = "base_value") -> DataFrame:
-    """Per group, notes, mentions, mentions per note and the value
-    quartiles (exact percentiles, partial aggregation)."""
-    return measures.groupBy(*group).agg(
-        F.countDistinct(note).alias("n_notes"), F.count(F.lit(1)).alias("n_mentions"),
-        (F.count(F.lit(1)) / F.countDistinct(note)).alias("per_note"),
-        F.percentile(value, F.lit(0.25)).alias("p25"), F.percentile(value, F.lit(0.5)).alias("p50"),
-        F.percentile(value, F.lit(0.75)).alias("p75"))
+    """Per group, notes, mentions, mentions per note and the exact value
+    quartiles.  Mentions are counted per note first, so a hot group is spread over
+    its notes; a null note counts as a mention but not as a note, and a group without
+    values has null quartiles."""
+    g = F.struct(*(F.col(f"`{c}`") for c in group)).alias("_g")
+    per_note = measures.groupBy(g, F.col(note).alias("_note")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = per_note.groupBy("_g").agg(F.count("_note").alias("n_notes"), F.sum("_n").alias("n_mentions"))
+    q = exact_quantiles(measures, group, value, (0.25, 0.5, 0.75)).select(F.struct(*group).alias("_g"), "quantiles")
+    return counts.join(q, "_g", "left").select(
+        "_g.*", "n_notes", "n_mentions", F.try_divide(F.col("n_mentions"), F.col("n_notes")).alias("per_note"),
+        *[F.col("quantiles")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75"))])
