@@ -60,6 +60,7 @@ HOT_LEAST = 6
 HOT_MOST = 300_000
 HOT_BITS = 22
 SLACK = 50
+MERGE_PARTS = 256
 
 
 def slab_sets(slab: bw.Slab, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -225,8 +226,8 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Heap-merge the short lists of each document a: rows (a, token, b, least)
-    sorted by a and token, b rising within a token.  Candidates that occur in
-    ``least`` lists or more."""
+    sorted by a and token, b rising within a token, all rows of a pair in one
+    partition.  Candidates that occur in ``least`` lists or more."""
     def rows():
         for batch in batches:
             yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
@@ -302,7 +303,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     across = across.select(
         F.least("x_doc_id", "y_doc_id").alias("a"), "token", F.greatest("x_doc_id", "y_doc_id").alias("b"),
         _slack(F.least("x_n", "y_n")).alias("least"))
-    merged = across.repartition("a").sortWithinPartitions("a", "token", "b").mapInArrow(_merge, "a long, b long")
+    # a pair's rows meet in one task; the candidates of one document spread over many
+    merged = (across.repartition(F.col("a"), F.pmod(F.xxhash64("b"), F.lit(MERGE_PARTS)))
+              .sortWithinPartitions("a", "token", "b").mapInArrow(_merge, "a long, b long"))
     edges = edges.unionByName(verified(docs, merged, k, percent))
     found = connected_components(edges)
 
