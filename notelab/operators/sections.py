@@ -1,8 +1,8 @@
 """Sections and disease cohorts.
 
-Sections are found row-locally from heading lines; mentions meet sections
-on the binned half-open overlap join (J02); the disease knowledge is a long
-dimension table ``(disease, analyte, code)`` joined on code.
+Sections open at lines that equal a heading of a table; mentions meet sections
+on the binned half-open overlap join (J02); the disease knowledge
+(``operators/knowledge.py``) is a long dimension table joined on code.
 """
 
 from __future__ import annotations
@@ -16,66 +16,50 @@ from notelab.functions.numbers import apply_sql
 from notelab.operators import measures as ms
 from notelab.operators import spans
 
-# Heading words of our section grammar and their labels.
-HEADINGS = (("user", "SECTION_motif"), ("assistant", "SECTION_histoire"), ("system", "SECTION_antecedent"))
+# Headings of clinical notes and their section labels.
+SECTION_HEADINGS = (
+    ("motif", "SECTION_motif"), ("motif d'hospitalisation", "SECTION_motif"),
+    ("antécédents", "SECTION_antecedent"), ("antécédents familiaux", "SECTION_antecedent_familiaux"),
+    ("mode de vie", "SECTION_mode_de_vie"), ("histoire de la maladie", "SECTION_histoire"),
+    ("examen clinique", "SECTION_examen_clinique"), ("examens complémentaires", "SECTION_examen_complementaire"),
+    ("traitement", "SECTION_traitement"), ("traitement à l'entrée", "SECTION_traitement_entree"),
+    ("traitement de sortie", "SECTION_traitement_sortie"), ("évolution", "SECTION_evolution"),
+    ("conclusion", "SECTION_conclusion"), ("autre", "SECTION_autre"),
+)
 # The four diseases of the cohort study.
 DISEASES = ("lupus", "takayasu", "sclerodermie", "sapl")
 
+#: A line that may open a section (group 1 its words): words alone on the line, or
+#: up to a colon.  Lines end at a line feed only.
+HEADING_LINE = r"(?md)^[ \t]*([a-z][a-z' ]*?)[ \t]*(?::|$)"
 
-def heading_pattern(headings: Sequence[tuple[str, str]] = HEADINGS) -> str:
-    return r"(?m)^(" + "|".join(h for h, _ in headings) + r"):$"
 
+def section_headings(spark: SparkSession) -> DataFrame:
+    """The built-in heading table ``heading, section``."""
+    return spark.createDataFrame(list(SECTION_HEADINGS), "heading string, section string")
 
-def detect_sections(notes: DataFrame, note: str, text: str,
-                    headings: Sequence[tuple[str, str]] = HEADINGS) -> DataFrame:
-    """``(note, start, end, section)``: each heading line opens a
-    section that ends where the next one starts (or at the end of the note)."""
-    labels = F.create_map(*[x for h, lab in headings for x in (F.lit(h), F.lit(lab))])
-    found = ms.find_all(ms.normalize_for_matching(F.col(text)), heading_pattern(headings), [1])
-    item = "struct<start:int,end:int,section:string>"
 
-    def step(acc: Column, x: Column) -> Column:
-        closed = F.concat(acc["out"], F.array(F.struct(acc["start"].alias("start"), x["start"].alias("end"),
-                                                       acc["section"].alias("section"))))
-        out = F.when(acc["section"].isNotNull(), closed).otherwise(acc["out"])
-        return F.struct(x["start"].alias("start"), F.element_at(labels, x["g1"]).alias("section"), out.alias("out"))
+def heading_key(c: Column) -> Column:
+    """What headings are compared by: lower case, accents folded, apostrophes and
+    runs of blanks as one space."""
+    return F.trim(F.regexp_replace(ms.normalize_for_matching(c), "[' ]+", " "))
 
-    init = F.struct(F.lit(0).alias("start"), F.lit(None).cast("string").alias("section"),
-                    F.array().cast(f"array<{item}>").alias("out"))
 
-    def finish(acc: Column) -> Column:
-        last = F.array(F.struct(acc["start"].alias("start"), F.length(F.col(text)).cast("int").alias("end"),
-                                acc["section"].alias("section")))
-        return F.when(acc["section"].isNotNull(), F.concat(acc["out"], last)).otherwise(acc["out"])
-
-    secs = notes.select(note, F.explode(F.aggregate(found, init, step, finish)).alias("x"))
-    return secs.select(note, "x.start", "x.end", "x.section")
-
-
-def knowledge(spark: SparkSession, n_codes: int = 13, n_analytes: int = 3) -> DataFrame:
-    """D23 dimension: ``(disease, analyte, code)`` built by rule: code
-    ``C<c>`` belongs to disease ``c mod 4`` and analyte ``c mod n_analytes``."""
-    c = spark.range(n_codes).select(F.col("id").cast("int").alias("c"))
-    dis = F.element_at(F.array(*[F.lit(d) for d in DISEASES]), (F.col("c") % len(DISEASES)) + 1)
-    return c.select(dis.alias("disease"), F.concat(F.lit("analyte_"), (F.col("c") % n_analytes).cast("string")).alias(
-        "analyte"), F.concat(F.lit("C"), F.col("c").cast("string")).alias("code"))
-
-
-def code_of(term: Column, part: int, n_codes: int = 13) -> Column:
-    h = F.conv(F.substring(F.md5(term), 1 + 8 * part, 8), 16, 10).cast("bigint")
-    return F.concat(F.lit("C"), F.pmod(h, F.lit(n_codes)).cast("string"))
-
-
-def word_mentions(notes: DataFrame, note: str, text: str, min_len: int = 9) -> DataFrame:
-    """Gazetteer-style mentions: long words, with two codes each from the
-    word's md5 (stand-in for a tagger + normaliser)."""
-    # maximal runs of ASCII letters (no \b: Java and RE2 disagree on
-    # non-ASCII word characters such as ß)
-    f = ms.find_all(ms.normalize_for_matching(F.col(text)), rf"[a-z]{{{min_len},}}")
-    m = notes.select(note, F.explode(f).alias("x")).select(
-        note, F.col("x.start").alias("s"), (F.col("x.start") + F.length("x.m")).alias("e"), F.col("x.m").alias("term"))
-    return m.withColumn("codes", F.array_sort(F.array_distinct(F.array(code_of(F.col("term"), 0),
-                                                                       code_of(F.col("term"), 1)))))
+def detect_sections(notes: DataFrame, note: str, text: str, headings: DataFrame) -> DataFrame:
+    """``(note, start, end, section)``: a line that begins with a heading of the
+    table ``heading, section`` (alone on its line or before a colon, in any case, with
+    or without accents) opens a section, which ends where the next one starts or with
+    the note.  What stands before the first heading is in no section.  Headings are
+    met by an equi-join; equal headings take the least label; notes without text or
+    heading have no row.  ``note`` is taken as unique."""
+    found = ms.find_all(ms.normalize_for_matching(F.col(text)), HEADING_LINE, [1])
+    lines = notes.select(note, F.length(F.col(text)).cast("int").alias("_len"), F.explode(found).alias("_x")).select(
+        note, "_len", F.col("_x.start").alias("start"), heading_key(F.col("_x.g1")).alias("_key"))
+    table = headings.select(heading_key(F.col("heading")).alias("_key"), "section").groupBy("_key").agg(
+        F.min("section").alias("section"))
+    opened = lines.join(table, "_key")
+    end = F.lead("start").over(Window.partitionBy(note).orderBy("start"))
+    return opened.select(note, "start", F.coalesce(end, F.col("_len")).alias("end"), "section")
 
 
 def folded_words(c: Column) -> Column:
@@ -136,19 +120,31 @@ def tag_with(notes: DataFrame, text: str, taggers: dict, groups: Sequence[str],
     return note_spans(notes, text, groups, extensions, taggers, types)
 
 
-def dictionary_lookup(mentions: DataFrame, kb: DataFrame, mention_id: Sequence[str]) -> DataFrame:
-    """The (disease, analyte) pairs a mention's codes point to; a
-    mention counts once per analyte however many of its codes match."""
-    ex = mentions.select(*mention_id, F.explode("codes").alias("code"))
-    return ex.join(kb, "code").select(*mention_id, "disease", "analyte").distinct()
+def dictionary_lookup(mentions: DataFrame, kb: DataFrame, mention_id: Sequence[str], within: str | None = None) -> DataFrame:
+    """The (disease, analyte) pairs a mention's codes point to; a mention
+    counts once per analyte however many of its codes match.  With ``within`` (the
+    mention's section, one of ``mention_id``) a code that ``kb`` holds for one section
+    (``only_in``) counts there only."""
+    ex = mentions.select(*mention_id, F.explode(F.array_distinct("codes")).alias("code"))
+    met = ex.join(kb, "code")
+    if within:
+        met = met.where(F.col("only_in").isNull() | (F.col("only_in") == F.col(within)))
+    return met.select(*mention_id, "disease", "analyte").distinct()
 
 
-def section_stats(mentions: DataFrame, sections: DataFrame, kb: DataFrame, note: str) -> DataFrame:
-    """Mentions placed in sections (half-open overlap), mapped to
-    disease/analyte, terms listed per (note, section, disease, analyte)."""
+def place_mentions(mentions: DataFrame, sections: DataFrame, note: str) -> DataFrame:
+    """Mentions with the section they lie in (half-open overlap; one that reaches into
+    two sections is in both, one outside all of them has no row)."""
     s = sections.select(note, F.col("start").alias("ss"), F.col("end").alias("se"), "section")
-    j = spans.overlap_join(mentions, s, [note], ("s", "e"), ("ss", "se"), closed=False)
-    da = dictionary_lookup(j, kb, [note, "s", "e", "term", "section"])
+    return spans.overlap_join(mentions, s, [note], ("s", "e"), ("ss", "se"), closed=False)
+
+
+def section_stats(mentions: DataFrame, sections: DataFrame, kb: DataFrame, note: str) -> DataFrame:
+    """Mentions placed in sections, mapped to disease/analyte (codes that belong
+    to one section count there only), terms listed per (note, section, disease,
+    analyte)."""
+    placed = place_mentions(mentions, sections, note)
+    da = dictionary_lookup(placed, kb, [note, "s", "e", "term", "section"], within="section")
     return da.groupBy(note, "section", "disease", "analyte").agg(F.array_sort(F.collect_list("term")).alias("terms"))
 
 
@@ -167,12 +163,6 @@ def section_summary(stats: DataFrame, note: str) -> DataFrame:
         "summary"))
 
 
-def cohort_by_disease(mentions: DataFrame, kb: DataFrame, note: str) -> DataFrame:
-    """Notes of each disease (a mention carries one of its codes)."""
-    ex = mentions.select(note, F.explode("codes").alias("code"))
-    return ex.join(kb.select("code", "disease"), "code").select("disease", note).distinct()
-
-
 #: Buckets of a bracket in one round of :func:`exact_quantiles`.
 BUCKETS = 1024
 

@@ -310,6 +310,56 @@ def d_conv_notes(conversations: DataFrame) -> DataFrame:
     return conversations.groupBy("conv_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("turn", chunk.alias("c")))), lambda x: x["c"]), "\n").alias("note_text"))
 
+# Lines that open a turn: a heading before a colon or alone on its line, in several
+# spellings; the last one is no heading.
+HEADING_LINES = ("Motif d'hospitalisation :", "ANTÉCÉDENTS", "Antécédents familiaux: ", "mode de vie:", "Histoire  de la maladie",
+                 "  Examen clinique :", "EXAMENS COMPLÉMENTAIRES:", "Traitement à l\u2019entrée :", "Évolution", "Conclusion :",
+                 "Remarque :")
+
+
+def d_section_notes(conversations: DataFrame) -> DataFrame:
+    """One note per conversation: every turn opens with a heading line, and with text
+    on that line in every third turn."""
+    line = F.element_at(F.array(*[F.lit(h) for h in HEADING_LINES]), ((F.col("conv_id") + F.col("turn")) % len(HEADING_LINES) + 1).cast("int"))
+    chunk = F.concat(line, F.when(F.col("turn") % 3 == 2, F.lit(" ")).otherwise(F.lit("\n")), F.col("text"))
+    return conversations.groupBy("conv_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", chunk.alias("c")))), lambda x: x["c"]), "\n").alias("note_text"))
+
+
+def d_section_terms(conversations: DataFrame) -> DataFrame:
+    """Terminology of two to four words from inside the turns: ``term, code``."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    term = F.array_join(F.slice(words, F.lit(4), (F.col("turn") % 3 + 2).cast("int")), "-")
+    return conversations.select(term.alias("term"), F.concat(F.lit("C"), (F.col("conv_id") * 8 + F.col("turn")).cast(
+        "string")).alias("code")).where("term != ''")
+
+
+def d_knowledge(conversations: DataFrame) -> DataFrame:
+    """Knowledge entries ``disease, body`` (nested JSON) over the codes of
+    ``d_section_terms``, at most 64 conversations an entry."""
+    from notelab.operators.sections import DISEASES
+    c = F.col("conv_id") * 8 + F.col("turn")
+    # every seventh code belongs to two diseases
+    numbers = F.when(c % 7 == 0, F.array(c % 4, (c + 1) % 4)).otherwise(F.array(c % 4))
+    rows = conversations.select("conv_id", "turn", c.alias("c"), F.explode(numbers).alias("d")).select(
+        F.element_at(F.array(*[F.lit(d) for d in DISEASES]), (F.col("d") + 1).cast("int")).alias("disease"),
+        F.floor(F.col("conv_id") / 64).alias("part"), "conv_id", "turn",
+        F.concat(F.lit("analyte_"), (F.col("c") % 3).cast("string")).alias("analyte"), F.col("c").cast("string").alias("c"),
+        F.when(F.col("c") % 5 == 0, "examens complémentaires").when(F.col("c") % 5 == 1, "Antécédents").otherwise("all").alias("section"))
+
+    def as_map(df, key, value):
+        return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias("m"))
+
+    key = ["disease", "part"]
+    cim = rows.groupBy(*key).agg(F.collect_set(F.when(F.col("turn") == 0, F.concat(F.lit("M"), F.col("conv_id").cast("string")))).alias("CIM10"))
+    per = rows.groupBy(*key, "section", "analyte").agg(F.collect_list(F.concat(F.lit("C"), "c")).alias("codes"))
+    cui = as_map(as_map(per.groupBy(*key, "section"), "analyte", "codes").groupBy(*key), "section", "m").withColumnRenamed("m", "CUI_per_section")
+    lab = as_map(rows.groupBy(*key, "analyte").agg(F.collect_list(F.concat(F.lit("L"), "c")).alias("codes")).groupBy(*key),
+                 "analyte", "codes").withColumnRenamed("m", "ANABIO_codes")
+    return cim.join(lab, key).join(cui, key).select(
+        "disease", F.to_json(F.struct("CIM10", "ANABIO_codes", "CUI_per_section")).alias("body"))
+
+
 @dataclass
 class Tables:
     spark: SparkSession
@@ -452,6 +502,13 @@ from (
     "d_conv_notes": """
 select conv_id, string_agg(concat(role, ':', chr(10), text), chr(10) order by turn) note_text
 from conversations group by conv_id""",
+    "d_section_notes": f"""
+select conv_id, string_agg(concat([{', '.join("'" + h.replace("'", "''") + "'" for h in HEADING_LINES)}][(conv_id + turn) % {len(HEADING_LINES)} + 1],
+                                  case when turn % 3 = 2 then ' ' else chr(10) end, text), chr(10) order by turn) note_text
+from conversations group by conv_id""",
+    "d_section_terms": """
+select * from (select array_to_string(regexp_extract_all(lower(text), '[a-z]+')[4:5 + turn % 3], '-') term,
+                      'C' || (conv_id * 8 + turn) code from conversations) t where term <> ''""",
     "d_lab_notes": """
 select source, l_orderkey, string_agg(line, chr(10) order by ln) note_text from d_lab_lines group by source, l_orderkey""",
     "d_lab_mentions": """
