@@ -18,6 +18,7 @@ from notelab.operators import evaluation as ev
 from notelab.session import ensure_checkpoint_dir
 from notelab.sources import io
 from notelab.sources import standoff as so
+from notelab.sources import standoff_source as ss
 from notelab.plans import testbed as tb
 from notelab.plans.registry import query
 
@@ -232,6 +233,21 @@ def s15(spark, sf_dir):
     return back.select("note_id", F.regexp_replace("note_text", "\n$", "").alias("note_text"))
 
 
+@query("S15_standoff_source", W(f"""
+select n.source note_id, n.note_text, coalesce(b.body, '') body from d_lab_notes n left join (
+  select source, string_agg('T' || n || chr(9) || label || ' ' || s || ' ' || e || chr(9) || term, chr(10) order by n) body
+  from (select *, {_T} n from d_lab_mentions) m group by source) b on b.source = n.source""", "d_lab_notes", "d_lab_mentions"))
+def s15_all(spark, sf_dir):
+    """A pair of files for every note, written and read by the data source."""
+    mentions, notes = _lab(spark, sf_dir)
+    pairs = so.publish_notes(notes, so.standoff_lines(mentions), notes)
+    ss.register(spark)
+    path = scratch(spark, "pairs")
+    pairs.write.format("standoff").mode("append").save(path)
+    back = spark.read.format("standoff").load(path)
+    return back.select(F.col("source").alias("note_id"), "note_text", "body")
+
+
 @query("S16_note_store", _ENTITIES)
 def s16(spark, sf_dir):
     m2 = _notes_with_entities(spark, sf_dir).select(
