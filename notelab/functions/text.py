@@ -1,7 +1,6 @@
 """Scalar text functions (X01-X12, X16) as Spark Column expressions.
 
-All of them compile to built-in expressions (whole-stage codegen); none is a
-Python UDF.  Where an oracle needs the same fixed table (the ASCII folding
+All but ``fold_ascii_all`` compile to built-in expressions (whole-stage codegen).  Where an oracle needs the same fixed table (the ASCII folding
 map), the table is built once here and exported.
 """
 
@@ -10,6 +9,8 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +61,23 @@ def fold_ascii(c: Column) -> Column:
     return F.translate(c, FOLD_FROM, FOLD_TO)
 
 
+def _latin_bases(x: pa.Array) -> pa.Array:
+    """NFKD, the marks on Latin letters taken off, all else composed again."""
+    bare = pc.replace_substring_regex(pc.utf8_normalize(x, "NFKD"), r"(\p{Latin})\p{Mn}+", r"\1")
+    if pc.all(pc.string_is_ascii(bare), min_count=0).as_py():
+        return bare
+    return pa.array([s if s is None else unicodedata.normalize("NFC", s) for s in bare.to_pylist()], pa.string())
+
+
+def fold_ascii_all(c: Column) -> Column:
+    """X02 for every code point that has an ASCII form by Unicode's own tables, not only
+    the letters of the fold table: ``ệ→e``, ``ﬁ→fi``, ``Ａ→A``, ``①→1``.  Opt-in, since
+    the decomposition runs as an Arrow function, by kernels on whole batches; a batch
+    that is not ASCII after it is composed again value by value.  Letters of other
+    scripts keep their marks; null stays null."""
+    return fold_ascii(F.arrow_udf(_latin_bases, "string")(c))
+
+
 def fold_ascii_length_preserving(c: Column) -> Column:
     """Fold only the one-to-one part so character offsets stay valid."""
     return F.translate(c, FOLD_FROM, FOLD_TO)

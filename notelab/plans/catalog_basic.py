@@ -37,6 +37,18 @@ def x02(spark, sf_dir):
     return d.select("doc_id", tx.fold_ascii(F.col("text")).alias("folded"))
 
 
+# two letters of Latin Extended Additional in front of every text
+_WIDE = "chr(cast(7840 + doc_id % 90 as integer)) || chr(cast(7680 + doc_id % 150 as integer)) || text"
+
+
+@query("X02_fold_all_code_points", f"select doc_id, {tx.fold_ascii_sql(f'strip_accents({_WIDE})')} folded from documents")
+def x02_all(spark, sf_dir):
+    wide = [F.call_function("decode", F.unhex(F.lpad(F.hex(F.lit(base) + F.col("doc_id") % n), 4, "0")), F.lit("UTF-16BE"))
+            for base, n in ((7840, 90), (7680, 150))]
+    docs = tb.tables(spark, sf_dir).documents
+    return docs.select("doc_id", tx.fold_ascii_all(F.concat(*wide, "text")).alias("folded"))
+
+
 @query("X03_remove_stopwords",
        f"select doc_id, regexp_replace({tx.fold_ascii_sql('text')}, '{tx.stopword_pattern(tx.DEFAULT_STOPWORDS)}', "
        "'', 'g') cleaned from documents")

@@ -1,3 +1,6 @@
+import sys
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from notelab.functions import text as tx
@@ -28,3 +31,21 @@ def test_dice_identity(spark):
     df = spark.createDataFrame([("hemoglobine",)], "x string")
     g = tx.ngram_set(F.col("x"), 3)
     assert df.select(tx.dice(g, g).alias("d")).collect()[0]["d"] == 1.0
+
+
+def test_fold_all_code_points(spark):
+    """Every letter, number and symbol: what decomposes to ASCII and marks gives the ASCII."""
+    def plain(ch):
+        return "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+
+    table = {a for a, _ in tx.MULTI_CHAR_FOLDS + tx.SINGLE_CHAR_EXTRA}
+    chars = [chr(i) for i in range(32, sys.maxunicode + 1) if unicodedata.category(chr(i))[0] in "LNS"]
+    found = spark.createDataFrame([(c,) for c in chars] + [(None,), ("",)], "c string").select("c", tx.fold_ascii_all(F.col("c"))).collect()
+    folded = dict(map(tuple, found))
+    assert folded.pop(None) is None and folded.pop("") == ""
+    latin = [c for c in chars if plain(c).isascii() and plain(c).isalpha() and c not in table]
+    assert len(latin) > 1500
+    assert {c: folded[c] for c in latin} == {c: plain(c) for c in latin}
+    kept = "αάжйहिन한"  # other scripts stay as they are
+    row = spark.createDataFrame([(kept + " Ꞗ ﬁn ① ǽ",)], "c string").select(tx.fold_ascii_all(F.col("c"))).first()
+    assert row[0] == kept + " Ꞗ fin 1 ae"
