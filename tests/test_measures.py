@@ -78,3 +78,25 @@ def test_spoken_reads_what_the_plain_grammar_reads(spark):
     df = spark.createDataFrame([(text,), (None,)], "t string")
     for r in df.select(ms.extract_measures(F.col("t")).alias("a"), ms.extract_measures(F.col("t"), spoken=True).alias("b")).collect():
         assert r["a"] == r["b"]
+
+
+def test_encoded_terms_against_plain_counts(spark):
+    """Unit vectors of hashed gram counts, zeros for null; counted by batch, not by a fold of
+    ``dim`` steps a gram."""
+    import hashlib
+    import math
+    from notelab.operators import similarity as sim
+    rows = [(0, "glycemie"), (1, None), (2, ""), (3, "aaaaaaaa"), (4, "œdème"), (5, None), (6, "un deux trois quatre")]
+    encoded = spark.createDataFrame(rows, "id int, t string").select("id", sim.encode_terms(F.col("t")).alias("v"))
+    assert "aggregate(" not in encoded._jdf.queryExecution().analyzed().toString()
+    for r in encoded.collect():
+        t = rows[r.id][1]
+        if t is None:
+            assert r.v == [0.0] * 64
+            continue
+        p = f"##{t}##"
+        counts = [0.0] * 64
+        for g in {p[i:i + 3] for i in range(len(p) - 2)}:
+            counts[int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % 64] += 1
+        norm = max(math.sqrt(sum(c * c for c in counts)), 1e-12)
+        assert r.v == [c / norm for c in counts]
