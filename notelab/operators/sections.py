@@ -11,10 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from notelab.functions.numbers import apply_sql
+from notelab.functions.bloom import Members
+from notelab.functions.runs import likely_runs, whole_hashes
 from notelab.operators import measures as ms
 from notelab.operators import spans
+from notelab.session import written
 
 # Headings of clinical notes and their section labels.
 SECTION_HEADINGS = (
@@ -72,29 +75,27 @@ def phrase_matches(notes: DataFrame, terminology: DataFrame, note: Sequence[str]
     """Every run of words of a note that equals a folded term, overlapping ones
     included: ``_note (struct), s, e, term, code`` (least term and code of equal ones).
 
-    The terms make a trie of two levels: a term's first word with the numbers of
-    words that its terms have, and below it the terms.  A note is exploded to a row
-    a word with the words after it (as many as the longest term has, never the
-    note's whole array); the join on the first word keeps the places where a term
-    can begin, and only these are extended, once for each length that occurs under
-    that word.  Both joins are equi-joins that AQE plans and splits by size; nothing
-    is broadcast but what it measures as small.  Notes without text and terms
-    without a word match nothing."""
+    A term is known by the hash of its words.  Where a run of as many words as some
+    term has may be a term by a Bloom filter of these hashes (of bounded size and
+    broadcast), the run goes on to the equi-join with the terms, which makes the
+    result exact; no other word of a note leaves its task.  Past the filter's size
+    more runs are joined than match.  Notes without text and terms without a word
+    match nothing."""
     folded = terminology.select(folded_words(F.col(term)).alias("_folded"), F.col(term).alias("term"),
                                 F.col(code).alias("code")).where(F.col("_folded") != "")
-    terms = folded.groupBy("_folded").agg(F.min("term").alias("term"), F.min("code").alias("code"))
-    size = F.size(F.split("_folded", " "))
-    first = folded.groupBy(F.substring_index("_folded", " ", 1).alias("_first")).agg(F.collect_set(size).alias("_sizes"))
-    longest = folded.agg(F.max(size)).first()[0] or 1  # one number
+    terms = written(folded.groupBy("_folded").agg(F.min("term").alias("term"), F.min("code").alias("code")), "terms")
+    words = F.split("_folded", " ")
+    sizes = [r[0] for r in terms.select(F.size(words)).distinct().collect()]  # a number per length
+    if not sizes:
+        sizes = [1]
+    own = terms.select(F.transform(words, lambda w: F.xxhash64(w)).alias("_h")).mapInArrow(whole_hashes, "h long")
+    members = Members(own, terms.count(), hashed=True)
     found = ms.find_all(ms.normalize_for_matching(F.col(text)), "[a-z0-9]+")
-    ahead = apply_sql(found, "f", f"transform(f, (x, i) -> slice(f, i + 1, {int(longest)}))")
-    words = notes.select(F.struct(*note).alias("_note"), F.explode(ahead).alias("_ahead"))
-    begins = words.withColumn("_first", F.col("_ahead")[0]["m"]).join(first, "_first")
-    runs = begins.select("_note", "_ahead", F.explode("_sizes").alias("_n")).where(F.col("_n") <= F.size("_ahead"))
-    runs = runs.select("_note", F.slice("_ahead", F.lit(1), F.col("_n")).alias("_run"))
-    last = F.element_at("_run", -1)
-    runs = runs.select("_note", F.col("_run")[0]["start"].alias("s"), (last["start"] + F.length(last["m"])).alias("e"),
-                       F.array_join(F.transform("_run", lambda x: x["m"]), " ").alias("_folded"))
+    read = notes.select(F.struct(*note).alias("_note"), found.alias("_words"))
+    read = read.withColumn("_h", F.transform("_words", lambda x: F.xxhash64(x["m"])))
+    types = T.StructType([read.schema["_note"], *(T.StructField(c, t) for c, t in (
+        ("s", T.IntegerType()), ("e", T.IntegerType()), ("_folded", T.StringType())))])
+    runs = read.mapInArrow(likely_runs(members, sizes), types)
     return runs.join(terms, "_folded").select("_note", "s", "e", "term", "code")
 
 
@@ -106,8 +107,8 @@ def tag_mentions(notes: DataFrame, terminology: DataFrame, note: Sequence[str],
     Trained taggers plug in with :func:`tag_with`."""
     from notelab.operators.corpus import resolve_overlaps
     found = phrase_matches(notes, terminology, note, text, term, code)
-    # runs that begin at one word differ in length: the pair is their id
-    kept = resolve_overlaps(found.withColumn("k", F.struct("s", "e")), note="_note", mid="k")
+    # runs that begin at one word differ in length: the offsets alone tell them apart
+    kept = resolve_overlaps(found, note="_note", mid="s")
     return kept.select("_note.*", "s", "e", "term", "code")
 
 

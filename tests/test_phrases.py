@@ -64,3 +64,45 @@ def test_resolution_keeps_other_columns(spark):
     assert out.columns == df.columns
     assert sorted(r["k"] for r in out.collect()) == [2, 3, 4, 5]
     assert {r["k"]: r["attributes"] for r in out.collect()}[2] == {"b": "2"}
+
+
+def test_only_likely_runs_leave_their_task(spark):
+    # a word that begins a term is no reason to send what follows it
+    notes = spark.createDataFrame([(i, "acide bas " * 400 + f"acide urique {i}") for i in range(20)], "id int, text string")
+    table = spark.createDataFrame([("acide urique", "A"), ("bas debit renal", "B")], "term string, code string")
+    found = sc.phrase_matches(notes, table, ["id"], "text")
+    assert found.count() == 20
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "_ahead" not in plan
+
+
+def test_run_hashes_and_filter_agree():
+    import numpy as np
+    import pyarrow as pa
+    from notelab.functions.runs import likely_runs, whole_hashes
+
+    class Exactly:
+        def __init__(self, h):
+            self.h = h
+
+        def may_have(self, h):
+            return np.isin(h, self.h)
+
+    terms = pa.RecordBatch.from_arrays([pa.array([[5, 6], [7], [], [6, 5, 7]], pa.list_(pa.int64()))], ["_h"])
+    h = next(whole_hashes(iter([terms]))).column(0).to_numpy()
+    assert len(set(h.tolist())) == 4
+    letters = {5: "e", 6: "f", 7: "g"}
+    notes = [[5, 6, 5, 7], None, [], [6], [5, 6]]
+    words = [None if n is None else [{"start": 2 * i, "m": letters[x]} for i, x in enumerate(n)] for n in notes]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(range(5))), pa.array(words, pa.list_(pa.struct([("start", pa.int32()), ("m", pa.string())]))),
+                                        pa.array(notes, pa.list_(pa.int64()))], ["n", "w", "h"])
+    out = [tuple(r.values()) for b in likely_runs(Exactly(h), [1, 2, 3])(iter([batch])) for r in b.to_pylist()]
+    assert sorted(out) == [(0, 0, 3, "e f"), (0, 2, 7, "f e g"), (0, 6, 7, "g"), (4, 0, 3, "e f")]
+
+
+def test_resolution_moves_each_column_once(spark):
+    df = spark.createDataFrame([("n", 1, 0, 4, "x"), ("n", 2, 3, 9, "y"), ("m", 1, 0, 1, "z")], "source string, k int, s int, e int, term string")
+    out = resolve_overlaps(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "named_struct(source" not in plan
+    assert sorted(map(tuple, out.collect())) == [("m", 1, 0, 1, "z"), ("n", 2, 3, 9, "y")]
