@@ -140,13 +140,15 @@ def resolve_overlaps(mentions: DataFrame, note: str = "source", mid: str = "k")
     without offsets overlaps nothing and stays."""
     earlier = Window.partitionBy(note).orderBy("s", "e", mid).rowsBetween(Window.unboundedPreceding, -1)
     opens = F.coalesce(F.col("s") >= F.max("e").over(earlier), F.lit(True)).cast("int")
-    row = F.struct(*(F.col(f"`{c}`") for c in mentions.columns)).alias("row")
+    # each column travels once: what the span and the keys say is not in the row again
+    rest = [c for c in mentions.columns if c not in (note, mid, "s", "e")]
+    row = (F.struct(*(F.col(f"`{c}`") for c in rest)) if rest else F.lit(True)).alias("row")
     cut = mentions.select(F.col(note).alias("_note"), F.col(mid).alias("_id"), "s", "e", row, opens.alias("_o"))
     so_far = Window.partitionBy("_note").orderBy("s", "e", "_id").rowsBetween(Window.unboundedPreceding, 0)
     g = cut.withColumn("_island", F.sum("_o").over(so_far)).groupBy("_note", "_island").agg(
         F.collect_list(F.struct("s", "e", F.col("_id").alias("id"), "row")).alias("_rows"))
     # the order is sorted apart from the rows, which may hold maps
-    g = g.select("_rows", F.array_sort(F.transform("_rows", lambda x, i: F.struct(
+    g = g.select("_note", "_rows", F.array_sort(F.transform("_rows", lambda x, i: F.struct(
         (x["s"] - x["e"]).alias("neg_len"), x["s"].alias("s"), x["e"].alias("e"), x["id"].alias("id"), i.alias("i")))).alias("_m"))
 
     def step(kept: Column, x: Column) -> Column:
@@ -154,8 +156,10 @@ def resolve_overlaps(mentions: DataFrame, note: str = "source", mid: str = "k")
         return F.when(F.coalesce(clash, F.lit(False)), kept).otherwise(F.concat(kept, F.array(x)))
 
     empty = F.array().cast(g.schema["_m"].dataType)
-    kept = g.select("_rows", F.explode(F.aggregate("_m", empty, step)).alias("x"))
-    return kept.select(F.col("_rows")[F.col("x.i")]["row"].alias("row")).select("row.*")
+    kept = g.select("_note", "_rows", F.explode(F.aggregate("_m", empty, step)).alias("x"))
+    kept = kept.select("_note", F.col("_rows")[F.col("x.i")].alias("x"))
+    own = {mid: F.col("x.id"), "s": F.col("x.s"), "e": F.col("x.e"), note: F.col("_note")}
+    return kept.select(*((F.col("x.row")[c] if c in rest else own[c]).alias(c) for c in mentions.columns))
 
 
 SENTENCE = r"[^.!?\n]+[.!?]*"

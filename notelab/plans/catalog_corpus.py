@@ -111,8 +111,8 @@ greedy as (
 @query("D18_resolve_overlaps", _D18_SQL)
 def d18(spark, sf_dir):
     # a key and an inner mention may have the same number
-    m = tb.d_mentions(tb.tables(spark, sf_dir).documents).withColumn("mid", F.struct("k", "label"))
-    return cp.resolve_overlaps(m, mid="mid").select("source", "k", "s", "e", "label")
+    m = tb.d_mentions(tb.tables(spark, sf_dir).documents).select("source", "s", "e", F.struct("k", "label").alias("mid"))
+    return cp.resolve_overlaps(m, mid="mid").select("source", "mid.k", "s", "e", "mid.label")
 
 
 @query("D19_chunk_notes")
