@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -151,3 +152,57 @@ def without_passages(docs, min_words=16):
             i = max(j, i + 1)
         out[d] = (dropped, bytes(b for b, k in zip(raw[d], keep, strict=True) if k).decode())
     return out
+
+
+def kneser_ney_evidence(train, texts, min_keyness=-1.0, discount=0.75):
+    """train: (text, toxic 0 or 1); difference of the two log-likelihoods per word of each text."""
+    take = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    prefix = lambda w: [("p", w.encode()[:4])] if len(w.encode()) > 4 else []
+    n, docs = ([collections.Counter(), collections.Counter()] for _ in range(2))
+    left, total, size = collections.defaultdict(set), [0, 0], [0, 0]
+    for text, y in train:
+        w = take(text)
+        own = [x for i, a in enumerate(w) for x in [*prefix(a), ("w", a), *([("b", w[i - 1], a)] if i else [])]]
+        n[y].update(own)
+        docs[y].update(set(own))
+        total[y] += len(w)
+        size[y] += 1
+        for i in range(1, len(w)):
+            for x in [*prefix(w[i]), ("w", w[i])]:
+                left[x].add(w[i - 1])
+
+    def differs(x):
+        d, out = [docs[y][x] for y in (0, 1)], 0.0
+        for k, m in zip(d, size, strict=True):
+            out += k * math.log(k / m / (sum(d) / sum(size))) if k else 0.0
+            out += (m - k) * math.log((1 - k / m) / (1 - sum(d) / sum(size))) if k < m else 0.0
+        return sum(d) > 0 and 2 * out >= min_keyness
+
+    singles = sum(x[0] != "b" for x in n[0].keys() | n[1].keys())
+    types = sum(x[0] == "w" for x in n[1])
+    follows = collections.defaultdict(list)
+    for x, k in n[1].items():
+        if x[0] == "b":
+            follows[x[1]].append(k)
+
+    def single(x, y):
+        return max(n[y][x] - discount, 0) / total[y] + discount * types / total[1] * (len(left[x]) + 1) / (sum(total) + singles)
+
+    def pair(v, w, y):
+        lower_order = single(("w", w), y)
+        if not n[y]["w", v]:
+            return lower_order
+        weight = discount * len(follows[v]) / sum(follows[v]) if v in follows else 1.0
+        return max(n[y]["b", v, w] - discount, 0) / n[y]["w", v] + weight * lower_order
+
+    out = []
+    for text in texts:
+        w, value = take(text), 0.0
+        for i, a in enumerate(w):
+            if i and differs(("b", w[i - 1], a)):
+                value += math.log(pair(w[i - 1], a, 1) / pair(w[i - 1], a, 0))
+            else:
+                x = next((x for x in [("w", a), *prefix(a)] if differs(x)), None)
+                value += math.log(single(x, 1) / single(x, 0)) if x else 0.0
+        out.append(value / max(len(w), 1))
+    return out

@@ -41,6 +41,28 @@ def test_toxicity_model_grows_beyond_a_block(spark):
     assert all(r.predicted == int(r.doc_id % 4 == 0) for r in held)
 
 
+def test_toxicity_against_plain_models(spark):
+    rng = random.Random(5)
+    docs, labels = toxic_corpus()
+    # an expression of one class only, ones of a single text, a context that no toxic text goes on from
+    docs = [(i, None if t is None else t + (" kindly yours" if i is not None and i % 4 and rng.random() < 0.6 else "")
+             + (f" once{i}here" if i is not None and i % 9 == 0 else "")) for i, t in docs]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    truth = spark.createDataFrame(labels, "doc_id long, toxic int")
+    fold = {r.doc_id: r for r in truth.select("doc_id", toxicity.fold(F.col("doc_id")).alias("f"), (
+        F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(8)) == 0).alias("c")).collect()}
+    train = [(t, int(i % 4 == 0)) for i, t in docs if i in fold and fold[i].f != 0 and not fold[i].c]
+    texts = [t for _, t in docs] + ["kindly yours", "once0here"]
+    more = table.unionAll(spark.createDataFrame([(1001, texts[-2]), (1002, texts[-1])], table.schema))
+    for bound in (-1.0, 12.0):
+        got = sorted((r.text or "", r.evidence) for r in toxicity.score(
+            more.select("text", F.col("text").alias("words")), toxicity.learn(table, truth, min_keyness=bound), "words").collect())
+        plainly = sorted(zip([t or "" for t in texts], plain.kneser_ney_evidence(train, texts, bound), strict=True))
+        assert [t for t, _ in got] == [t for t, _ in plainly]
+        assert np.allclose([x for _, x in got], [x for _, x in plainly], rtol=1e-9, atol=1e-12)
+        assert dict(got)["kindly yours"] < -0.5
+
+
 def test_toxicity_counts_of_both_classes(spark):
     docs = [(i, "plain common words" if i % 2 else "plain rare words") for i in range(40)] + [(40, "rare rare rare")]
     rows = spark.createDataFrame([(t, int(i % 2 == 0)) for i, t in docs], "text string, toxic int")
