@@ -1,6 +1,9 @@
+import re
+
 from pyspark.sql import functions as F
 
 from notelab.operators import measures as ms
+from notelab.plans import lab_results
 
 
 def _measures(spark, text):
@@ -100,3 +103,39 @@ def test_encoded_terms_against_plain_counts(spark):
             counts[int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % 64] += 1
         norm = max(math.sqrt(sum(c * c for c in counts)), 1e-12)
         assert r.v == [c / norm for c in counts]
+
+
+def test_all_measures_is_the_three_readers_together(spark):
+    texts = ["", "+", "p", " - ", "poids 70", "poids 70 kg", "Glucose 5 mg/dl", "négatif", "+  3 g", "é 3 µg/l, 4 g", "pos 3 g neg 4 mg taille 2",
+             "taille 170 12/03/2020 3 g par l", "a < 3,5 g/l", "inférieur à 3 mmol", "3 g 4 g 5 g 6 g", "IMC : 22 normal", "PoS", "3 mg | 4 %", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    t = F.col("t")
+    apart = F.array_sort(F.concat(ms.merge_unitless(ms.extract_measures(t), ms.unitless_candidates(t)), ms.valueless_measures(t)),
+                         lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["end"] - b["end"]))
+    for row in df.select("t", ms.all_measures(t).alias("once"), apart.alias("apart")).collect():
+        assert row.once == row.apart, row.t
+    got = {r.t: r.m for r in df.select("t", F.transform(ms.all_measures(t), ms.format_measure).alias("m")).collect()}
+    assert got["pos 3 g neg 4 mg taille 2"] == ["= 1.0 bool", "= 3.0 g", "= 0.0 bool", "= 4.0 mg", "= 2.0 m"]
+    assert got["é 3 µg/l, 4 g"] == ["= 3.0 ug_per_l", "= 4.0 g"] and got["a < 3,5 g/l"] == ["< 3.5 g_per_l"]
+    assert got["+"] == ["= 1.0 bool"] and got[""] == [] and got[None] is None
+
+
+def test_offsets_of_one_two_and_more_matches(spark):
+    df = spark.createDataFrame([("",), ("x",), ("ab1",), ("a1bc22d",), ("1é22x333y",), ("1" * 5,)], "t string")
+    for groups in ((), (1,)):
+        for r in df.select("t", ms.find_all(F.col("t"), "(1+|2+|3+)", groups).alias("m")).collect():
+            assert [(x.start, x.m) for x in r.m] == [(m.start(), m[0]) for m in re.finditer("1+|2+|3+", r.t)]
+
+
+def test_lab_results_crop_the_texts_once(spark):
+    mentions = spark.createDataFrame([("n", 2, 0, 14, "BIO_comp", "sodium 5 mg/dl"), ("n", 3, 0, 6, "BIO", "sodium"),
+                                      ("n", 4, 15, 28, "BIO_comp", "a | 3 mg | 4"), ("n", 6, 29, 41, "BIO_comp", "b | 5 mg | 6"),
+                                      ("n", 8, 42, 45, "BIO_comp", "xyz")],
+                                     "source string, k bigint, s bigint, e bigint, label string, term string")
+    notes = spark.createDataFrame([("n", "sodium 5 mg/dl\na | 3 mg | 4 \nb | 5 mg | 6\nxyz")], "source string, note_text string")
+    out = lab_results.extract_lab_results(mentions, notes)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("collect_list(_crop") == 1
+    assert {r.k: (r.terms_linked_to_measurement, r.found) for r in out.collect()} == {
+        2: (["sodium"], ["= 5.0 mg_per_dl"]), 4: (["a |  | 4"], ["= 3.0 mg"]), 6: (["b |  | 6"], ["= 5.0 mg"])}
+    only = lab_results.extract_lab_results(mentions, notes, only_tables=True)
+    assert sorted(r.k for r in only.collect()) == [4, 6]
