@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping
+from functools import cache
 from typing import Any
 
 import pandas as pd
@@ -32,8 +33,10 @@ Tagger = Callable[[str], Iterable[tuple[int, int, Mapping[str, Any]]]]
 
 def regex_tagger(pattern: str, **extensions: Callable[[re.Match], Any]) -> Tagger:
     """Spans of a pattern's matches; ``extensions`` compute values from a match."""
+    compiled = re.compile(pattern, re.ASCII)
+
     def tag(note: str) -> Iterator[tuple[int, int, dict[str, Any]]]:
-        for m in re.finditer(pattern, note, re.ASCII):
+        for m in compiled.finditer(note):
             yield m.start(), m.end(), {name: fn(m) for name, fn in extensions.items()}
 
     return tag
@@ -48,8 +51,9 @@ TAGGERS: dict[str, Tagger] = {
 EXTENSIONS: dict[str, DataType] = {"value": DoubleType(), "norm": StringType()}
 
 
-def _names(text: str | None) -> list[str]:
-    return [x.strip() for x in (text or "").split(",") if x.strip()]
+@cache
+def _names(text: str | None) -> tuple[str, ...]:
+    return tuple(x.strip() for x in (text or "").split(",") if x.strip())
 
 
 def span_function(taggers: Mapping[str, Tagger], extensions: Mapping[str, DataType]) -> UserDefinedTableFunction:
